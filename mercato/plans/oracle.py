@@ -9,6 +9,8 @@ derivation as well as the operator.
 
 from __future__ import annotations
 
+import re
+
 ROLE_CTES = """
 orders_r AS (
   SELECT o_orderkey AS order_id,
@@ -106,7 +108,7 @@ delivered_r AS (
 def with_roles(body: str) -> str:
     """Prefix a query body with the role CTEs (plus optional extra CTEs)."""
     body = body.strip()
-    if body.upper().startswith("WITH "):
+    if re.match(r"(?i)WITH\s", body):
         return "WITH " + ROLE_CTES.strip() + ",\n" + body[5:]
     return "WITH " + ROLE_CTES.strip() + "\n" + body
 
