@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions.ranking import rank_rows
+from mercato.functions.ranking import rank_with_offsets
 
 
 def quantile_table(
@@ -37,40 +37,40 @@ def quantile_table(
     ties on ``value`` do not land in one partition.
     """
     group = list(group)
+    keyed = group or ["_g"]
     vals = df.where(F.col(value).isNotNull()).select(
         *group, F.col(value).cast("double").alias("_x"), *[F.col(t) for t in tiebreak]
     )
-    ranked = rank_rows(vals, ["_x", *tiebreak], group=group, num_partitions=num_partitions)
+    ranked, offsets = rank_with_offsets(vals, ["_x", *tiebreak], group=group, num_partitions=num_partitions)
+    if not group:
+        ranked = ranked.withColumn("_g", F.lit(0))
+        offsets = offsets.withColumn("_g", F.lit(0))
 
-    # Needed order statistics, derived from each group's count (tiny).
-    counts = ranked.select(*group, "_n").distinct()
+    # Needed order statistics per group, from the (tiny) offsets table.
+    counts = offsets.select(*keyed, "_n").distinct()
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    needed = counts.select(
-        *group, "_n", F.posexplode(probs_arr).alias("_k", "_p")
-    ).withColumn("_h", (F.col("_n") - 1).cast("double") * F.col("_p"))
-    needed = needed.withColumn("_lo", F.floor("_h").cast("bigint")).withColumn(
-        "_hi", F.least(F.col("_lo") + 1, F.col("_n") - 1)
+    needed = (
+        counts.select(*keyed, "_n", F.posexplode(probs_arr).alias("_k", "_p"))
+        .withColumn("_h", (F.col("_n") - 1).cast("double") * F.col("_p"))
+        .withColumn("_lo", F.floor("_h").cast("bigint"))
     )
-    wanted = needed.select(*group, F.explode(F.array(F.col("_lo") + 1, F.col("_hi") + 1)).alias("_rank")).distinct()
-    picked = ranked.join(F.broadcast(wanted), [*group, "_rank"], "inner").select(*group, "_rank", "_x")
-
-    lo = picked.select(*group, F.col("_rank").alias("_lo1"), F.col("_x").alias("_xlo"))
-    hi = picked.select(*group, F.col("_rank").alias("_hi1"), F.col("_x").alias("_xhi"))
-    q = (
-        needed.withColumn("_lo1", F.col("_lo") + 1)
-        .withColumn("_hi1", F.col("_hi") + 1)
-        .join(lo, [*group, "_lo1"])
-        .join(hi, [*group, "_hi1"])
-        .select(
-            *group,
-            "_n",
-            "_k",
-            (F.col("_xlo") + (F.col("_xhi") - F.col("_xlo")) * (F.col("_h") - F.col("_lo"))).alias("_q"),
-        )
+    needed = needed.withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_n") - 1))
+    wanted = needed.select(*keyed, F.explode(F.array(F.col("_lo") + 1, F.col("_hi") + 1)).alias("_rank")).distinct()
+    # One pass over the ranked rows keeps 2 rows per probability and group.
+    picked = (
+        ranked.join(F.broadcast(wanted), [*keyed, "_rank"], "inner")
+        .groupBy(*keyed)
+        .agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_x"))).alias("_m"))
+    )
+    xlo = F.element_at("_m", F.col("_lo") + 1)
+    xhi = F.element_at("_m", F.col("_hi") + 1)
+    q = needed.join(picked, keyed).select(
+        *keyed, "_n", "_k", (xlo + (xhi - xlo) * (F.col("_h") - F.col("_lo"))).alias("_q")
     )
-    return q.groupBy(*group, "_n").agg(
+    edges = q.groupBy(*keyed, "_n").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_k", "_q"))), lambda s: s["_q"]).alias("_edges")
     )
+    return edges.drop("_g") if not group else edges
 
 
 def _bucket_from_edges(x: Column, edges: Column, q: int, duplicates: str) -> Column:

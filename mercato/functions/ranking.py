@@ -30,19 +30,18 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def rank_rows(
+def rank_with_offsets(
     df: DataFrame,
     order: Sequence[str | Column],
     group: Sequence[str] = (),
     rank_col: str = "_rank",
     count_col: str | None = "_n",
     num_partitions: int | None = None,
-) -> DataFrame:
-    """Add a 1-based ``rank_col`` (row number in ``order``) within ``group``.
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`rank_rows` plus its offsets table ``(_pid, *group, _first, _before, _n)``.
 
-    Rows tied on ``order`` get distinct consecutive numbers in an arbitrary
-    order; pass a unique key as the last ordering column for rank-first
-    semantics.  ``count_col`` (if given) holds the group's row count.
+    The offsets table has at most ``partitions + groups`` rows; group row
+    counts can be read from it without touching the ranked data again.
     """
     group = list(group)
     keys = [F.col(g) for g in group] + [F.col(o) if isinstance(o, str) else o for o in order]
@@ -57,18 +56,37 @@ def rank_rows(
         F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first")
     )
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    cols = [
+    offsets = stats.select(
         "_pid",
         *group,
         "_first",
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before"),
-    ]
-    if count_col:
-        cols.append(F.sum("_cnt").over(Window.partitionBy(*group)).alias(count_col))
-    offsets = stats.select(*cols)
+        F.sum("_cnt").over(Window.partitionBy(*group)).alias("_n"),
+    )
     ranked = tagged.join(F.broadcast(offsets), ["_pid", *group], "inner")
     ranked = ranked.withColumn(rank_col, F.col("_before") + (F.col("_mid") - F.col("_first")) + 1)
-    return ranked.drop("_pid", "_mid", "_first", "_before")
+    if count_col and count_col != "_n":
+        ranked = ranked.withColumnRenamed("_n", count_col)
+    drop = ["_pid", "_mid", "_first", "_before"] + ([] if count_col else ["_n"])
+    return ranked.drop(*drop), offsets
+
+
+def rank_rows(
+    df: DataFrame,
+    order: Sequence[str | Column],
+    group: Sequence[str] = (),
+    rank_col: str = "_rank",
+    count_col: str | None = "_n",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Add a 1-based ``rank_col`` (row number in ``order``) within ``group``.
+
+    Rows tied on ``order`` get distinct consecutive numbers in an arbitrary
+    order; pass a unique key as the last ordering column for rank-first
+    semantics.  ``count_col`` (if given) holds the group's row count.
+    """
+    ranked, _ = rank_with_offsets(df, order, group, rank_col, count_col, num_partitions)
+    return ranked
 
 
 def rank_first_bucket(rank: Column, n: Column, q: int) -> Column:
@@ -85,3 +103,32 @@ def rank_first_bucket(rank: Column, n: Column, q: int) -> Column:
         F.floor((num + den - 1) / den)
     )
     return F.greatest(F.lit(1), bucket.cast("int"))
+
+
+def running_totals(
+    df: DataFrame,
+    order: Sequence[str | Column],
+    values: Sequence[str],
+    prefix: str = "cum_",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Inclusive running sums of ``values`` along a total ``order``, distributed.
+
+    Range partitions give each partition a contiguous slice of the order;
+    a running sum within the slice (window per partition id) plus the sums
+    of all earlier slices (a table of one row per partition, broadcast)
+    gives the global running sum.  No single-partition exchange.
+    """
+    keys = [F.col(o) if isinstance(o, str) else o for o in order]
+    n_parts = _partitions(df, num_partitions)
+    tagged = df.repartitionByRange(n_parts, *keys).withColumn("_pid", F.spark_partition_id())
+    totals = tagged.groupBy("_pid").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        "_pid", *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in values]
+    )
+    within = Window.partitionBy("_pid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
+    out = tagged.join(F.broadcast(offsets), "_pid", "inner")
+    for v in values:
+        out = out.withColumn(prefix + v, F.col(f"_o_{v}") + F.sum(v).over(within))
+    return out.drop("_pid", *[f"_o_{v}" for v in values])

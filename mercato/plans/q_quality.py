@@ -1 +1,79 @@
-"""Registered queries (see catalog)."""
+"""Data-quality queries and the streaming mart refresh."""
+
+from __future__ import annotations
+
+from mercato.operators import quality as dq
+from mercato.operators.fact import sales_fact
+from mercato.plans.catalog import R, register, tables
+from mercato.sources.schemas import CRITICAL_COLUMNS
+
+_VIEW = {
+    "orders": "orders_r",
+    "payments": "payments_r",
+    "customers": "customers_r",
+    "reviews": "reviews_r",
+    "items": "items_r",
+    "products": "products_r",
+    "category_translation": "translation_r",
+    "sellers": "sellers_r",
+}
+
+_NULL_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS rows, "
+    f"CAST(count(*) - count({c}) AS BIGINT) AS nulls FROM {_VIEW[t]}"
+    for t, cols in CRITICAL_COLUMNS.items()
+    for c in cols
+)
+
+
+@register("dq_schema")
+def q_dq_schema(spark, d):
+    """Declared vs actual column types of every loaded table (metadata only)."""
+    return dq.schema_report(tables(spark, d))
+
+
+@register("dq_nulls", _NULL_SQL)
+def q_dq_nulls(spark, d):
+    return dq.null_report(tables(spark, d))
+
+
+@register(
+    "dq_negative_payments",
+    """
+    SELECT count(*) AS payments, count(*) FILTER (WHERE payment_value < 0) AS negative_payments,
+           CAST(coalesce(sum(payment_value) FILTER (WHERE payment_value < 0), 0) AS DOUBLE) AS negative_total
+    FROM payments_r
+    """,
+)
+def q_dq_negative_payments(spark, d):
+    return dq.negative_payments(tables(spark, d)["payments"])
+
+
+@register(
+    "dq_join_fanout",
+    f"""
+    WITH p AS (SELECT count(*) AS payment_rows, count(DISTINCT order_id) AS payment_orders,
+                      {R('CAST(sum(payment_value) AS DOUBLE)')} AS payment_revenue FROM payments_r),
+    f AS (SELECT count(*) AS fact_rows, count(DISTINCT order_id) AS fact_orders,
+                 {R('CAST(sum(payment_value) AS DOUBLE)')} AS fact_revenue FROM fact_r),
+    o AS (SELECT count(*) AS orders FROM orders_r)
+    SELECT p.*, f.*, o.orders,
+           {R('CAST(fact_rows AS DOUBLE) / CAST(payment_rows AS DOUBLE)', 6)} AS fanout_ratio,
+           orders - fact_orders AS orders_lost
+    FROM p, f, o
+    """,
+)
+def q_dq_join_fanout(spark, d):
+    t = tables(spark, d)
+    return dq.join_fanout(t, sales_fact(t))
+
+
+@register(
+    "stream_monthly_revenue",
+    "SELECT order_month, " + R("CAST(sum(payment_value) AS DOUBLE)") + " AS revenue FROM fact_r GROUP BY order_month",
+)
+def q_stream_monthly_revenue(spark, d):
+    """Monthly revenue maintained by a Structured Streaming query over the payment files."""
+    from mercato.streaming.incremental import monthly_revenue_stream_once
+
+    return monthly_revenue_stream_once(spark, d)
