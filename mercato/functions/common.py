@@ -47,3 +47,17 @@ def scalar(df: DataFrame, expr: Column) -> Column:
 def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
     """Top-n by a total order (``TakeOrderedAndProject``: per-partition heaps, no full sort)."""
     return df.orderBy(*order).limit(n)
+
+
+def reuse_checkpointed(df: DataFrame) -> DataFrame:
+    """Materialise a reduced table that several passes will scan.
+
+    A reliable checkpoint (into the cluster's ``spark.checkpoint.dir``) cuts
+    the lineage: later ranking passes and scalar subqueries scan the written
+    rows instead of recomputing the joins and aggregations below, and a lost
+    executor does not force that recomputation either.
+    """
+    from mercato.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

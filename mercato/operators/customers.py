@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.binning import apply_bins, bin_edges, label_bucket, qcut, quantile_table
-from mercato.functions.common import scalar
+from mercato.functions.common import reuse_checkpointed, scalar
 from mercato.functions.ranking import rank_first_bucket, rank_rows
 from mercato.functions.timefx import floor_days, plus_days
 
@@ -39,7 +39,7 @@ def customer_value(fact: DataFrame) -> DataFrame:
 
 def customer_value_segments(fact: DataFrame) -> DataFrame:
     """Quartile value segments Low/Medium/High/VIP on total spend (``qcut(.., 4)``)."""
-    cv = customer_value(fact)
+    cv = reuse_checkpointed(customer_value(fact))
     binned = qcut(cv, "total_spent", 4, "segment_rank", tiebreak=[CUST])
     return binned.withColumn("value_segment", label_bucket(F.col("segment_rank"), VALUE_SEGMENT_LABELS))
 
@@ -201,6 +201,8 @@ def rfm_scored(base: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """
     # Edges of recency and monetary come from the same base; applied to the
     # rank-numbered rows in one projection (no binning on binned output).
+    # The base (one row per person) is scanned by three ranking passes.
+    base = reuse_checkpointed(base)
     r_edges = bin_edges(base, "recency", 5, tiebreak=[CUST], num_partitions=num_partitions)
     m_edges = bin_edges(base, "monetary", 5, tiebreak=[CUST], num_partitions=num_partitions)
     ranked = rank_rows(base, ["frequency", CUST], rank_col="_frank", count_col="_fn", num_partitions=num_partitions)

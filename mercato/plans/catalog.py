@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercato.plans import oracle as _oracle
+from mercato.sources.landing import land_tables
 from mercato.sources.roles import load_role_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -58,7 +59,8 @@ def register(name: str, sql: str | None = None):
 
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return load_role_tables(spark, sf_dir)
+    """Canonical tables for ``sf_dir``: role views landed once per session as bucketed Parquet."""
+    return land_tables(spark, sf_dir, lambda: load_role_tables(spark, sf_dir))
 
 
 # Import the modules that register queries (order = presentation order).
@@ -67,8 +69,8 @@ def _load_all() -> None:
     from mercato.plans import q_customers  # noqa: F401
     from mercato.plans import q_cohorts  # noqa: F401
     from mercato.plans import q_features  # noqa: F401
-    from mercato.plans import q_models  # noqa: F401
     from mercato.plans import q_quality  # noqa: F401
+    from mercato.plans import q_models  # noqa: F401  (model fits last: the heaviest jobs)
 
 
 def all_queries() -> dict[str, QueryFn]:

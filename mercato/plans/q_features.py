@@ -227,7 +227,7 @@ def q_roc_auc(spark, d):
     "regression_metrics",
     W(
         f"""
-        SELECT {R('1 - sum((review_score - prediction) * (review_score - prediction)) / sum((review_score - (SELECT avg(review_score) FROM review_test)) * (review_score - (SELECT avg(review_score) FROM review_test)))', 6)} AS r2,
+        SELECT {R('1 - sum((review_score - prediction) * (review_score - prediction)) / (sum(review_score * review_score) - sum(review_score) * sum(review_score) / count(*))', 6)} AS r2,
                {R('sqrt(sum((review_score - prediction) * (review_score - prediction)) / count(*))', 6)} AS rmse,
                {R('avg(abs(review_score - prediction))', 6)} AS mae,
                count(*) AS rows

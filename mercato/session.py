@@ -31,6 +31,10 @@ def get_session(
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        # Local mode runs every task inside the driver JVM; this only takes
+        # effect when the JVM is launched by this call.
+        conf.setdefault("spark.driver.memory", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
