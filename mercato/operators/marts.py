@@ -21,7 +21,11 @@ from pyspark.sql import functions as F
 from mercato.functions.common import exact_mean, money_sum, pct, top_n
 from mercato.functions.timefx import floor_days
 
-_ALL = Window.partitionBy()  # only ever used on small aggregated frames
+
+
+def _all() -> Window:
+    """Whole-frame window; only ever used on small aggregated frames."""
+    return Window.partitionBy()
 
 
 def kpi_summary(fact: DataFrame) -> DataFrame:
@@ -94,7 +98,7 @@ def order_status(orders: DataFrame) -> DataFrame:
     return counts.select(
         "order_status",
         "order_count",
-        pct(F.col("order_count"), F.sum("order_count").over(_ALL)).alias("pct_of_orders"),
+        pct(F.col("order_count"), F.sum("order_count").over(_all())).alias("pct_of_orders"),
     ).orderBy(F.desc("order_count"), "order_status")
 
 
@@ -188,7 +192,7 @@ def payment_mix(fact: DataFrame) -> DataFrame:
     return counts.select(
         "payment_type",
         "transactions",
-        pct(F.col("transactions"), F.sum("transactions").over(_ALL)).alias("share_pct"),
+        pct(F.col("transactions"), F.sum("transactions").over(_all())).alias("share_pct"),
     ).orderBy(F.desc("transactions"), "payment_type")
 
 
@@ -218,7 +222,7 @@ def state_share(fact: DataFrame) -> DataFrame:
         .groupBy("customer_state")
         .agg(F.sum("payment_value").alias("_rev"))
     )
-    total = F.sum("_rev").over(_ALL)
+    total = F.sum("_rev").over(_all())
     return agg.select(
         "customer_state",
         F.round(F.col("_rev").cast("double"), 2).alias("revenue"),

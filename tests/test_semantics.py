@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ def test_round_half_up(spark):
 
 
 def test_all_null_sum_is_zero_and_null_groups(spark):
-    df = spark.createDataFrame([("a", None), ("a", None), (None, 1.0)], "k string, v decimal(18,2)")
+    df = spark.createDataFrame([("a", None), ("a", None), (None, Decimal("1.00"))], "k string, v decimal(18,2)")
     got = df.where(F.col("k").isNotNull()).groupBy("k").agg(money_sum_0("v").alias("s")).collect()
     assert [(r.k, r.s) for r in got] == [("a", 0.0)]
 
