@@ -52,12 +52,19 @@ def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
 def reuse_checkpointed(df: DataFrame) -> DataFrame:
     """Materialise a reduced table that several passes will scan.
 
-    A reliable checkpoint (into the cluster's ``spark.checkpoint.dir``) cuts
-    the lineage: later ranking passes and scalar subqueries scan the written
-    rows instead of recomputing the joins and aggregations below, and a lost
-    executor does not force that recomputation either.
+    The rows are written once as a Parquet table under the cluster's
+    checkpoint folder (``spark.checkpoint.dir``) and read back: the lineage
+    is cut, later ranking passes and scalar subqueries scan the written rows
+    instead of recomputing the joins and aggregations below, a lost executor
+    does not force that recomputation, and AQE sees the real size.  (An RDD
+    ``checkpoint()`` would compute the input twice: once to count, once to
+    write.)
     """
+    import uuid
+
     from mercato.session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{root}/mercato-materialized/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -8,12 +8,15 @@ within each partition, and numbered with ``monotonically_increasing_id``
 partition.  That table is bounded by ``partitions + groups`` rows, so it
 is broadcast; the range shuffle is the only exchange of the data.
 
-Consistency: both branches read the same range exchange (Spark reuses it),
-the range bounds are fixed once per exchange, and the explicit partition
-count keeps AQE from coalescing it, so partition ids agree between the
-counting and the numbering pass, also when map tasks are recomputed after
-an executor loss.  Per-partition counts and first ids do not depend on the
-order of tied rows; callers pass a total order when tie order matters.
+Consistency: the partition id and row id are stored with the rows in a
+written table (the cluster's checkpoint folder) before the counting and
+the numbering read them.  Two separate range shuffles (Catalyst prunes the
+two branches differently, so they would not share one exchange) could
+sample different range bounds when the input's row order is not fixed,
+e.g. a shuffle output or a recomputed task; reading one written copy
+rules that out by construction.  Per-partition counts and first ids do
+not depend on the order of tied rows; callers pass a total order when tie
+order matters.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercato.functions.common import reuse_checkpointed
+
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
@@ -46,7 +51,7 @@ def rank_with_offsets(
     group = list(group)
     keys = [F.col(g) for g in group] + [F.col(o) if isinstance(o, str) else o for o in order]
     n_parts = _partitions(df, num_partitions)
-    tagged = (
+    tagged = reuse_checkpointed(
         df.repartitionByRange(n_parts, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
@@ -121,7 +126,9 @@ def running_totals(
     """
     keys = [F.col(o) if isinstance(o, str) else o for o in order]
     n_parts = _partitions(df, num_partitions)
-    tagged = df.repartitionByRange(n_parts, *keys).withColumn("_pid", F.spark_partition_id())
+    # Written once so that the totals and the running sums see the same
+    # partition of every row (see the module note on consistency).
+    tagged = reuse_checkpointed(df.repartitionByRange(n_parts, *keys).withColumn("_pid", F.spark_partition_id()))
     totals = tagged.groupBy("_pid").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

@@ -203,10 +203,25 @@ def rfm_scored(base: DataFrame, num_partitions: int | None = None) -> DataFrame:
     # rank-numbered rows in one projection (no binning on binned output).
     # The base (one row per person) is scanned by three ranking passes.
     base = reuse_checkpointed(base)
-    r_edges = bin_edges(base, "recency", 5, tiebreak=[CUST], num_partitions=num_partitions)
-    m_edges = bin_edges(base, "monetary", 5, tiebreak=[CUST], num_partitions=num_partitions)
+    # Recency and monetary edges in one grouped quantile pass over a stacked
+    # (metric, value) frame; the two edge arrays come back as one scalar.
+    stacked = base.select(
+        CUST,
+        F.explode(
+            F.array(
+                F.struct(F.lit("recency").alias("_metric"), F.col("recency").cast("double").alias("_v")),
+                F.struct(F.lit("monetary").alias("_metric"), F.col("monetary").cast("double").alias("_v")),
+            )
+        ).alias("_s"),
+    ).select(CUST, "_s._metric", "_s._v")
+    probs = [i / 5 for i in range(6)]
+    edges = quantile_table(stacked, "_v", probs, group=["_metric"], tiebreak=[CUST], num_partitions=num_partitions)
+    both = edges.agg(
+        F.max(F.when(F.col("_metric") == "recency", F.col("_edges"))).alias("r"),
+        F.max(F.when(F.col("_metric") == "monetary", F.col("_edges"))).alias("m"),
+    ).select(F.struct("r", "m")).scalar()
     ranked = rank_rows(base, ["frequency", CUST], rank_col="_frank", count_col="_fn", num_partitions=num_partitions)
-    ranked = ranked.withColumn("_re", r_edges).withColumn("_me", m_edges)
+    ranked = ranked.withColumn("_e", both).withColumn("_re", F.col("_e.r")).withColumn("_me", F.col("_e.m"))
     scored = ranked.select(
         CUST,
         "recency",
