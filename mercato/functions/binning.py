@@ -37,11 +37,23 @@ def quantile_table(
     ties on ``value`` do not land in one partition.
     """
     group = list(group)
-    keyed = group or ["_g"]
     vals = df.where(F.col(value).isNotNull()).select(
         *group, F.col(value).cast("double").alias("_x"), *[F.col(t) for t in tiebreak]
     )
     ranked, offsets = rank_with_offsets(vals, ["_x", *tiebreak], group=group, num_partitions=num_partitions)
+    return quantiles_from_ranked(ranked, offsets, "_x", probs, group)
+
+
+def quantiles_from_ranked(
+    ranked: DataFrame, offsets: DataFrame, value: str, probs: Sequence[float], group: Sequence[str] = ()
+) -> DataFrame:
+    """Quantile edges per group from rows already numbered by :func:`rank_with_offsets`.
+
+    Only the order statistics the interpolation needs (2 per probability and
+    group) are read from ``ranked``; group sizes come from ``offsets``.
+    """
+    group = list(group)
+    keyed = group or ["_g"]
     if not group:
         ranked = ranked.withColumn("_g", F.lit(0))
         offsets = offsets.withColumn("_g", F.lit(0))
@@ -60,7 +72,7 @@ def quantile_table(
     picked = (
         ranked.join(F.broadcast(wanted), [*keyed, "_rank"], "inner")
         .groupBy(*keyed)
-        .agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_x"))).alias("_m"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("_rank", F.col(value).cast("double")))).alias("_m"))
     )
     xlo = F.element_at("_m", F.col("_lo") + 1)
     xhi = F.element_at("_m", F.col("_hi") + 1)

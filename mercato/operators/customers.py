@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.functions.binning import apply_bins, bin_edges, label_bucket, qcut, quantile_table
+from mercato.functions.binning import apply_bins, label_bucket, qcut, quantile_table, quantiles_from_ranked
 from mercato.functions.common import reuse_checkpointed, scalar
-from mercato.functions.ranking import rank_first_bucket, rank_rows
+from mercato.functions.ranking import rank_first_bucket, rank_with_offsets
 from mercato.functions.timefx import floor_days, plus_days
 
 CUST = "customer_unique_id"
@@ -197,39 +197,46 @@ def rfm_scored(base: DataFrame, num_partitions: int | None = None) -> DataFrame:
 
     r: ``qcut(recency, 5)`` reversed; f: ``qcut(frequency.rank('first'), 5)``
     with the person id as tie order (a groupby result is sorted by it);
-    m: ``qcut(monetary, 5)``.  All three are distributed (range partitions).
+    m: ``qcut(monetary, 5)``.
+
+    One distributed ranking pass serves all three: the base is stacked into
+    (metric, value) rows and ranked per metric by (value, person).  The
+    frequency rows carry the rank-first numbers; the recency and monetary
+    rows give the quantile edges (2 order statistics per edge); the stacked
+    rows are written once by the ranker, so nothing below is recomputed.
     """
-    # Edges of recency and monetary come from the same base; applied to the
-    # rank-numbered rows in one projection (no binning on binned output).
-    # The base (one row per person) is scanned by three ranking passes.
-    base = reuse_checkpointed(base)
-    # Recency and monetary edges in one grouped quantile pass over a stacked
-    # (metric, value) frame; the two edge arrays come back as one scalar.
+    metrics = ["recency", "frequency", "monetary"]
     stacked = base.select(
         CUST,
+        *metrics,
         F.explode(
-            F.array(
-                F.struct(F.lit("recency").alias("_metric"), F.col("recency").cast("double").alias("_v")),
-                F.struct(F.lit("monetary").alias("_metric"), F.col("monetary").cast("double").alias("_v")),
-            )
+            F.array(*[F.struct(F.lit(m).alias("_metric"), F.col(m).cast("double").alias("_v")) for m in metrics])
         ).alias("_s"),
-    ).select(CUST, "_s._metric", "_s._v")
+    ).select(CUST, *metrics, "_s._metric", "_s._v")
+    ranked, offsets = rank_with_offsets(
+        stacked, ["_v", CUST], group=["_metric"], rank_col="_rank", count_col="_n", num_partitions=num_partitions
+    )
     probs = [i / 5 for i in range(6)]
-    edges = quantile_table(stacked, "_v", probs, group=["_metric"], tiebreak=[CUST], num_partitions=num_partitions)
+    edges = quantiles_from_ranked(
+        ranked.where(F.col("_metric") != "frequency"),
+        offsets.where(F.col("_metric") != "frequency"),
+        "_v",
+        probs,
+        group=["_metric"],
+    )
     both = edges.agg(
         F.max(F.when(F.col("_metric") == "recency", F.col("_edges"))).alias("r"),
         F.max(F.when(F.col("_metric") == "monetary", F.col("_edges"))).alias("m"),
     ).select(F.struct("r", "m")).scalar()
-    ranked = rank_rows(base, ["frequency", CUST], rank_col="_frank", count_col="_fn", num_partitions=num_partitions)
-    ranked = ranked.withColumn("_e", both).withColumn("_re", F.col("_e.r")).withColumn("_me", F.col("_e.m"))
-    scored = ranked.select(
+    freq = ranked.where(F.col("_metric") == "frequency").withColumn("_e", both)
+    scored = freq.select(
         CUST,
-        "recency",
-        "frequency",
-        "monetary",
-        (6 - apply_bins(F.col("recency"), F.col("_re"), 5)).cast("int").alias("r_score"),
-        rank_first_bucket(F.col("_frank"), F.col("_fn"), 5).alias("f_score"),
-        apply_bins(F.col("monetary"), F.col("_me"), 5).cast("int").alias("m_score"),
+        F.col("recency").cast("bigint").alias("recency"),
+        F.col("frequency").cast("bigint").alias("frequency"),
+        F.col("monetary").cast("double").alias("monetary"),
+        (6 - apply_bins(F.col("recency"), F.col("_e.r"), 5)).cast("int").alias("r_score"),
+        rank_first_bucket(F.col("_rank"), F.col("_n"), 5).alias("f_score"),
+        apply_bins(F.col("monetary"), F.col("_e.m"), 5).cast("int").alias("m_score"),
     )
     scored = scored.withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
     return scored.withColumn("segment", rfm_label(F.col("rfm_score")))
