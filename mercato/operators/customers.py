@@ -96,7 +96,7 @@ def spend_histogram(fact: DataFrame, bins: int = 50) -> DataFrame:
     right; a constant input falls into one bin.  The bin list is generated
     from the bin count and left-joined to the counts (``bins`` rows).
     """
-    cv = customer_value(fact)
+    cv = reuse_checkpointed(customer_value(fact))
     lo = scalar(cv, F.min("total_spent"))
     hi = scalar(cv, F.max("total_spent"))
     width = hi - lo
@@ -161,23 +161,26 @@ def rfm_base(fact: DataFrame, frequency: str = "orders") -> DataFrame:
     subquery.  ``frequency="orders"`` counts distinct orders, ``"rows"``
     counts fact rows (the two variants found in the reference).
     """
-    snapshot = scalar(fact, plus_days(F.max("order_purchase_timestamp"), 1))
-    f = fact.where(F.col(CUST).isNotNull())
     if frequency == "orders":
-        per = f.groupBy(CUST, "order_id").agg(
+        per = fact.groupBy(CUST, "order_id").agg(
             F.max("order_purchase_timestamp").alias("_last"), F.sum("payment_value").alias("_m")
         ).groupBy(CUST).agg(
             F.max("_last").alias("_last"), F.count(F.lit(1)).alias("frequency"), F.sum("_m").alias("_m")
         )
     elif frequency == "rows":
-        per = f.groupBy(CUST).agg(
+        per = fact.groupBy(CUST).agg(
             F.max("order_purchase_timestamp").alias("_last"),
             F.count("order_id").alias("frequency"),
             F.sum("payment_value").alias("_m"),
         )
     else:
         raise ValueError(f"unknown frequency {frequency!r}")
-    return per.select(
+    # One row per person, written once.  The null-person group is kept until
+    # the snapshot (latest purchase of the whole fact + 1 day) has been read,
+    # so the fact joins are scanned once; the person groupby then drops it.
+    per = reuse_checkpointed(per)
+    snapshot = scalar(per, plus_days(F.max("_last"), 1))
+    return per.where(F.col(CUST).isNotNull()).select(
         CUST,
         floor_days(snapshot, F.col("_last")).alias("recency"),
         F.col("frequency").cast("bigint").alias("frequency"),

@@ -2,9 +2,10 @@
 
 All side tables are reduced to one row per ``order_id`` before they meet
 the orders, so no join fans out.  The four ``order_id``-keyed inputs share
-one hash partitioning: Spark joins them without re-shuffling between the
-joins; only the product and customer lookups shuffle on their own keys (or
-are broadcast by AQE when their measured size is small).
+one hash partitioning (the landed tables are bucketed by ``order_id``, so the
+roll-ups and joins need no exchange at all); only the product and customer
+lookups shuffle on their own keys (or are broadcast by AQE when their
+measured size is small).
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercato.functions.common import reuse_checkpointed
 from mercato.functions.timefx import floor_days, weekday_monday0
 
 # Model feature lists of the reference (fixed values).
@@ -166,15 +168,16 @@ def standardize(fit_df: DataFrame, apply_df: DataFrame, columns: list[str], suff
 
 def customer_rfm_from_features(features: DataFrame) -> DataFrame:
     """Per person from delivered orders: recency, distinct orders, order-level spend."""
-    snapshot = features.select(
-        F.max("order_purchase_timestamp") + F.make_dt_interval(days=F.lit(1))
-    ).scalar()
-    per = features.where(F.col("customer_unique_id").isNotNull()).groupBy("customer_unique_id").agg(
+    per = features.groupBy("customer_unique_id").agg(
         F.max("order_purchase_timestamp").alias("_last"),
         F.countDistinct("order_id").alias("frequency"),
         F.sum("payment_value").alias("monetary"),
     )
-    return per.select(
+    # Written once; the snapshot covers all feature rows (the null-person
+    # group included), then the person groupby drops that group.
+    per = reuse_checkpointed(per)
+    snapshot = per.select(F.max("_last") + F.make_dt_interval(days=F.lit(1))).scalar()
+    return per.where(F.col("customer_unique_id").isNotNull()).select(
         "customer_unique_id",
         floor_days(snapshot, F.col("_last")).alias("recency"),
         "frequency",

@@ -263,15 +263,17 @@ def executive_summary(fact: DataFrame) -> DataFrame:
 
 def kpi_banner(fact: DataFrame, orders: DataFrame) -> DataFrame:
     """KPI tiles as formatted text (thousands separators, 2 dp, 1 dp %)."""
-    kpi = kpi_summary(fact)
+    k = fact.agg(
+        F.sum("payment_value").cast("double").alias("_rev"),
+        F.countDistinct("order_id").alias("_orders"),
+        F.countDistinct("customer_unique_id").alias("_customers"),
+    )
     rate = orders.select(F.avg((F.col("order_status") == "delivered").cast("int")) * 100).scalar()
-    raw_aov = F.try_divide(fact.select(F.sum("payment_value").cast("double")).scalar(),
-                           F.col("total_orders").cast("double"))
-    out = kpi.select(
-        F.format_number("total_revenue", 2).alias("revenue_text"),
-        F.format_number("total_orders", 0).alias("orders_text"),
-        F.format_number("total_customers", 0).alias("customers_text"),
-        F.format_number(raw_aov, 2).alias("aov_text"),
+    out = k.select(
+        F.format_number(F.round("_rev", 2), 2).alias("revenue_text"),
+        F.format_number("_orders", 0).alias("orders_text"),
+        F.format_number("_customers", 0).alias("customers_text"),
+        F.format_number(F.try_divide(F.col("_rev"), F.col("_orders").cast("double")), 2).alias("aov_text"),
         F.format_number(rate, 1).alias("delivered_rate_text"),
     )
     return out.withColumn(
