@@ -30,6 +30,18 @@ def exact_mean(col) -> Column:
     return F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double"))
 
 
+def distinct_count(col, approx: bool = False, rsd: float = 0.01) -> Column:
+    """Exact ``count(DISTINCT col)``, or HyperLogLog++ (relative error ``rsd``) when ``approx``.
+
+    The exact form keeps the distinct column in the shuffle key (one extra
+    aggregation level); the approximate form is a fixed-size sketch per
+    group, merged map-side, for very large inputs where an exact count is
+    not required.
+    """
+    c = _c(col)
+    return F.approx_count_distinct(c, rsd=rsd) if approx else F.countDistinct(c)
+
+
 def pct(num: Column, den: Column, digits: int = 2) -> Column:
     """``round(num / den * 100, digits)``; NULL instead of an ANSI error on 0."""
     return F.round(F.try_divide(num.cast("double"), den.cast("double")) * 100, digits)

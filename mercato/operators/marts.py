@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.functions.common import exact_mean, money_sum, pct, top_n
+from mercato.functions.common import distinct_count, exact_mean, money_sum, pct, top_n
 from mercato.functions.timefx import floor_days
 
 
@@ -28,11 +28,11 @@ def _all() -> Window:
     return Window.partitionBy()
 
 
-def kpi_summary(fact: DataFrame) -> DataFrame:
+def kpi_summary(fact: DataFrame, approx: bool = False) -> DataFrame:
     agg = fact.agg(
         F.sum("payment_value").cast("double").alias("_rev"),
-        F.countDistinct("order_id").alias("total_orders"),
-        F.countDistinct("customer_unique_id").alias("total_customers"),
+        distinct_count("order_id", approx).alias("total_orders"),
+        distinct_count("customer_unique_id", approx).alias("total_customers"),
     )
     return agg.select(
         F.round("_rev", 2).alias("total_revenue"),
@@ -51,39 +51,39 @@ def monthly_revenue(fact: DataFrame) -> DataFrame:
     )
 
 
-def revenue_by_state(fact: DataFrame) -> DataFrame:
+def revenue_by_state(fact: DataFrame, approx: bool = False) -> DataFrame:
     return (
         fact.where(F.col("customer_state").isNotNull())
         .groupBy("customer_state")
         .agg(
             F.round(money_sum("payment_value"), 2).alias("revenue"),
-            F.countDistinct("customer_unique_id").alias("customers"),
-            F.countDistinct("order_id").alias("orders"),
+            distinct_count("customer_unique_id", approx).alias("customers"),
+            distinct_count("order_id", approx).alias("orders"),
         )
         .orderBy(F.desc("revenue"), "customer_state")
     )
 
 
-def revenue_by_city(fact: DataFrame, n: int = 20) -> DataFrame:
+def revenue_by_city(fact: DataFrame, n: int = 20, approx: bool = False) -> DataFrame:
     agg = (
         fact.where(F.col("customer_city").isNotNull() & F.col("customer_state").isNotNull())
         .groupBy("customer_city", "customer_state")
         .agg(
             F.round(money_sum("payment_value"), 2).alias("revenue"),
-            F.countDistinct("customer_unique_id").alias("customers"),
-            F.countDistinct("order_id").alias("orders"),
+            distinct_count("customer_unique_id", approx).alias("customers"),
+            distinct_count("order_id", approx).alias("orders"),
         )
     )
     return top_n(agg, n, F.desc("revenue"), "customer_city", "customer_state")
 
 
-def payment_methods(fact: DataFrame) -> DataFrame:
+def payment_methods(fact: DataFrame, approx: bool = False) -> DataFrame:
     """Per payment type: distinct orders, mean *payment row* value, revenue."""
     return (
         fact.where(F.col("payment_type").isNotNull())
         .groupBy("payment_type")
         .agg(
-            F.countDistinct("order_id").alias("orders"),
+            distinct_count("order_id", approx).alias("orders"),
             F.round(exact_mean("payment_value"), 2).alias("avg_order_value"),
             F.round(money_sum("payment_value"), 2).alias("total_revenue"),
         )

@@ -141,7 +141,7 @@ def q_split_balance(spark, d):
                {R('CAST(sum(rows) OVER () AS DOUBLE) / CAST(count(*) OVER () * rows AS DOUBLE)', 6)} AS weight
         FROM c
         """
-    ).replace(")\n\n        , c AS", "),\n c AS"),
+    ),
 )
 def q_class_weights(spark, d):
     x = fe.with_split(fe.delay_model_input(_features(spark, d))).where(F.col("split") == "train")
@@ -201,7 +201,7 @@ def q_confusion_matrix(spark, d):
         UNION ALL
         SELECT threshold, CAST(cn AS DOUBLE) / CAST(N AS DOUBLE), CAST(cp AS DOUBLE) / CAST(P AS DOUBLE) FROM cum
         """
-    ).replace(")\n\n        , sc AS", "),\n sc AS"),
+    ),
 )
 def q_roc_curve(spark, d):
     return ev.roc_curve(delay_test_scored(spark, d), "is_late", "score")
@@ -217,7 +217,7 @@ def q_roc_curve(spark, d):
                CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives
         FROM cum
         """
-    ).replace(")\n\n        , sc AS", "),\n sc AS"),
+    ),
 )
 def q_roc_auc(spark, d):
     return ev.roc_auc(delay_test_scored(spark, d), "is_late", "score")
@@ -272,7 +272,7 @@ def rfm_scaled_frame(spark, d):
                {R('recency_z', 6)} AS recency_z, {R('frequency_z', 6)} AS frequency_z, {R('monetary_z', 6)} AS monetary_z
         FROM z
         """
-    ).replace(")\n\n, rf AS", "),\n rf AS"),
+    ),
 )
 def q_rfm_scaled(spark, d):
     z = rfm_scaled_frame(spark, d)
@@ -313,7 +313,7 @@ def _fixed_cluster():
         )
         SELECT {R('avg(s)', 6)} AS silhouette, count(*) AS points FROM s
         """
-    ).replace(")\n\n, rf AS", "),\n rf AS"),
+    ),
 )
 def q_silhouette_sample(spark, d):
     z = rfm_scaled_frame(spark, d).withColumn("cluster", _fixed_cluster())

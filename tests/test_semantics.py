@@ -92,3 +92,17 @@ def test_qcut_duplicate_edges_raise(spark):
 
     want = pd.qcut(pd.Series([1, 1, 1, 1, 1, 1, 2], dtype=float), 5, labels=False, duplicates="drop") + 1
     assert [r.b for r in got] == list(want)
+
+
+def test_approx_distinct_option(spark):
+    from mercato.operators import marts
+    from mercato.plans.catalog import tables
+
+    from conftest import SF_SMALL
+
+    fact = sales_fact(tables(spark, SF_SMALL))
+    exact = {r.customer_state: r.orders for r in marts.revenue_by_state(fact).collect()}
+    approx = {r.customer_state: r.orders for r in marts.revenue_by_state(fact, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    for k, v in exact.items():
+        assert abs(approx[k] - v) <= max(3, 0.05 * v)
