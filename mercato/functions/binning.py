@@ -69,8 +69,10 @@ def quantiles_from_ranked(
     needed = needed.withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_n") - 1))
     wanted = needed.select(*keyed, F.explode(F.array(F.col("_lo") + 1, F.col("_hi") + 1)).alias("_rank")).distinct()
     # One pass over the ranked rows keeps 2 rows per probability and group.
+    # The wanted ranks are 2 per probability: broadcast when ungrouped; with
+    # groups they grow with the group count, so the planner decides.
     picked = (
-        ranked.join(F.broadcast(wanted), [*keyed, "_rank"], "inner")
+        ranked.join(F.broadcast(wanted) if not group else wanted, [*keyed, "_rank"], "inner")
         .groupBy(*keyed)
         .agg(F.map_from_entries(F.collect_list(F.struct("_rank", F.col(value).cast("double")))).alias("_m"))
     )

@@ -68,7 +68,11 @@ def rank_with_offsets(
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before"),
         F.sum("_cnt").over(Window.partitionBy(*group)).alias("_n"),
     )
-    ranked = tagged.join(F.broadcast(offsets), ["_pid", *group], "inner")
+    # Without groups the offsets table has one row per partition (a proven
+    # bound) and is broadcast; with groups its size grows with the number of
+    # groups, so the join strategy is left to the size-checked planner/AQE.
+    side = F.broadcast(offsets) if not group else offsets
+    ranked = tagged.join(side, ["_pid", *group], "inner")
     ranked = ranked.withColumn(rank_col, F.col("_before") + (F.col("_mid") - F.col("_first")) + 1)
     if count_col and count_col != "_n":
         ranked = ranked.withColumnRenamed("_n", count_col)
