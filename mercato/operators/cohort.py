@@ -57,7 +57,8 @@ def cohort_matrix(counts: DataFrame, values: list[int] | None = None) -> DataFra
     """
     if values is None:
         values = [r[0] for r in counts.select("period").distinct().orderBy("period").collect()]
-    wide = counts.groupBy("cohort").pivot("period", values).agg(F.first("customers"))
+    # Cells are double like the pandas pivot (missing cells are null/NaN).
+    wide = counts.groupBy("cohort").pivot("period", values).agg(F.first("customers").cast("double"))
     return wide.select("cohort", *[F.col(str(v)).alias(f"p{v}") for v in values]).orderBy("cohort")
 
 
