@@ -77,10 +77,12 @@ def _land(spark: SparkSession, app: str, source: str, build) -> dict[str, DataFr
         table = f"mercato_{tag}_{re.sub(r'[^a-z0-9_]', '_', name)}"
         path = f"{root}/mercato-landing/{tag}/{name}"
         bucket_key = BUCKET_KEYS.get(name)
-        part_key = bucket_key or df.columns[0]
-        writer = df.repartition(n, part_key).write.mode("overwrite").format("parquet").option("path", path)
         if bucket_key:
-            writer = writer.bucketBy(n, bucket_key).sortBy(bucket_key)
+            # One write task per bucket: hash-partition by the bucket key first.
+            writer = df.repartition(n, bucket_key).write.bucketBy(n, bucket_key).sortBy(bucket_key)
+        else:
+            writer = df.write
+        writer = writer.mode("overwrite").format("parquet").option("path", path)
         writer.saveAsTable(table)
         return name, table
 
