@@ -7,17 +7,25 @@ from pyspark.sql import functions as F
 
 from mercato.sources.schemas import CANONICAL_SCHEMAS
 
-# Fixed file names of a marketplace CSV export (one file per canonical table).
-CSV_FILE_NAMES = {
-    "orders": "olist_orders_dataset.csv",
-    "payments": "olist_order_payments_dataset.csv",
-    "customers": "olist_customers_dataset.csv",
-    "reviews": "olist_order_reviews_dataset.csv",
-    "items": "olist_order_items_dataset.csv",
-    "products": "olist_products_dataset.csv",
-    "category_translation": "product_category_name_translation.csv",
-    "sellers": "olist_sellers_dataset.csv",
+# File-name stems of the marketplace CSV export layout.  The
+# export names files ``<prefix><stem>_dataset.csv``; the prefix is the
+# publisher's and is passed by the caller.  The translation file has no prefix.
+CSV_STEMS = {
+    "orders": "orders",
+    "payments": "order_payments",
+    "customers": "customers",
+    "reviews": "order_reviews",
+    "items": "order_items",
+    "products": "products",
+    "sellers": "sellers",
 }
+TRANSLATION_FILE = "product_category_name_translation.csv"
+
+
+def csv_file_name(name: str, prefix: str = "") -> str:
+    if name == "category_translation":
+        return TRANSLATION_FILE
+    return f"{prefix}{CSV_STEMS[name]}_dataset.csv"
 
 
 def read_csv_table(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -47,10 +55,12 @@ def read_csv_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return raw.select(*cols)
 
 
-def load_csv_tables(spark: SparkSession, directory: str, names=None) -> dict[str, DataFrame]:
+def load_csv_tables(
+    spark: SparkSession, directory: str, prefix: str = "", names=None
+) -> dict[str, DataFrame]:
     """Load a marketplace CSV export directory into canonical DataFrames."""
-    names = names or list(CSV_FILE_NAMES)
-    return {n: read_csv_table(spark, f"{directory}/{CSV_FILE_NAMES[n]}", n) for n in names}
+    names = names or [*CSV_STEMS, "category_translation"]
+    return {n: read_csv_table(spark, f"{directory}/{csv_file_name(n, prefix)}", n) for n in names}
 
 
 def load_parquet_tables(spark: SparkSession, directory: str, names) -> dict[str, DataFrame]:

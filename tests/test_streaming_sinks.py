@@ -84,3 +84,16 @@ def test_csv_export_reader(spark):
     assert [f.dataType.simpleString() for f in o.schema.fields][3:] == ["timestamp_ntz"] * 3
     r = o.orderBy("order_id").collect()
     assert r[1].order_delivered_customer_date is None and r[0].order_purchase_timestamp.hour == 10
+
+
+def test_load_csv_export_directory(spark):
+    from mercato.sources.readers import csv_file_name, load_csv_tables
+
+    d = tempfile.mkdtemp(prefix="mercato-export-")
+    with open(os.path.join(d, csv_file_name("sellers", "mk_")), "w") as f:
+        f.write("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,01000,campinas,SP\n")
+    with open(os.path.join(d, csv_file_name("category_translation")), "w") as f:
+        f.write("product_category_name,product_category_name_english\nbeleza_saude,health_beauty\n")
+    t = load_csv_tables(spark, d, prefix="mk_", names=["sellers", "category_translation"])
+    assert t["sellers"].collect()[0].asDict() == {"seller_id": "s1", "seller_city": "campinas", "seller_state": "SP"}
+    assert t["category_translation"].first().product_category_name_english == "health_beauty"
