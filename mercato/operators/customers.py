@@ -23,7 +23,6 @@ CUST = "customer_unique_id"
 VALUE_SEGMENT_LABELS = ["Low", "Medium", "High", "VIP"]
 RFM_SEGMENT_THRESHOLDS = [(13, "Champion"), (10, "Loyal"), (7, "At Risk")]
 RFM_SEGMENT_DEFAULT = "Lost"
-RFM_SEGMENT_ORDER = ["Champion", "Loyal", "At Risk", "Lost"]
 
 
 # ------------------------------------------------------------ customer value
@@ -252,7 +251,7 @@ def rfm_segments(scored: DataFrame) -> DataFrame:
         F.round(F.avg("recency"), 2).alias("avg_recency"),
         F.round(F.avg("frequency"), 2).alias("avg_frequency"),
         F.round(F.avg("monetary"), 2).alias("avg_monetary"),
-    ).orderBy(F.array_position(F.array(*[F.lit(s) for s in RFM_SEGMENT_ORDER]), F.col("segment")))
+    ).orderBy("segment")  # groupby order of the published mart (labels sorted)
 
 
 def rfm_spend_by_segment(scored: DataFrame) -> DataFrame:
