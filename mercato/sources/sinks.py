@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed file names of the BI export set.
 MART_FILES = [
@@ -26,9 +27,20 @@ MART_FILES = [
 ]
 
 
+def _plain_decimal(c) -> "F.Column":
+    """Double as plain decimal text (no exponent), trailing zeros trimmed, ``12.0`` kept."""
+    text = F.format_string("%.10f", c)
+    text = F.regexp_replace(text, r"(\.\d*?[1-9])0+$", "$1")
+    return F.when(c.isNull(), F.lit(None)).otherwise(F.regexp_replace(text, r"\.0+$", ".0"))
+
+
 def write_mart_csv(df: DataFrame, out_dir: str, name: str) -> str:
     path = f"{out_dir.rstrip('/')}/{name}"
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    cols = [
+        _plain_decimal(F.col(f.name)).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
+        for f in df.schema.fields
+    ]
+    df.select(*cols).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 

@@ -97,3 +97,26 @@ def test_load_csv_export_directory(spark):
     t = load_csv_tables(spark, d, prefix="mk_", names=["sellers", "category_translation"])
     assert t["sellers"].collect()[0].asDict() == {"seller_id": "s1", "seller_city": "campinas", "seller_state": "SP"}
     assert t["category_translation"].first().product_category_name_english == "health_beauty"
+
+
+def test_runs_compose_and_export(spark):
+    from mercato.plans.catalog import tables
+    from mercato.plans.runs import analysis_tables, bi_marts, dashboard_tables
+
+    t = tables(spark, SF_SMALL)
+    ms = bi_marts(t)
+    out = tempfile.mkdtemp(prefix="mercato-bi-")
+    paths = export_marts(ms, out)
+    assert sorted(paths) == sorted(ms)
+    for name in ["kpi_summary", "rfm_segments"]:
+        assert len(glob.glob(os.path.join(paths[name], "part-*.csv"))) == 1
+    a = analysis_tables(t)
+    assert a["cohort_retention"].where("period = 0 AND retention_pct <> 100").count() == 0
+    assert dashboard_tables(t)["kpi_banner"].count() == 1
+
+
+def test_mart_csv_plain_decimals(spark):
+    df = spark.createDataFrame([(357997248.43, 12.0, 0.125, None)], "a double, b double, c double, d double")
+    path = export_marts({"m": df}, tempfile.mkdtemp(prefix="mercato-dec-"))["m"]
+    text = open(glob.glob(os.path.join(path, "part-*.csv"))[0]).read().splitlines()
+    assert text[1] == "357997248.43,12.0,0.125,"
