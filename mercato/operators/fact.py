@@ -6,11 +6,13 @@ reviews contributes ``p * max(r, 1)`` rows, so ``sum(payment_value)``
 counts each payment once per review.  ``grain="order"`` pre-aggregates both
 sides per order first (no fan-out).
 
-Join plan: the three ``order_id`` joins share one hash partitioning, so the
-large sides are shuffled once on ``order_id``; only the customer lookup
-re-shuffles, on ``customer_id`` (or is broadcast by AQE when its measured
-size allows).  Inner joins and the reviews left join commute because the
-reviews join touches only ``order_id``.
+Join plan: the three ``order_id`` joins share one partitioning.  On the
+landed tables (bucketed by ``order_id``, see ``sources.landing``) they need
+no exchange at all; on unbucketed inputs the large sides are shuffled once
+on ``order_id``.  Only the customer lookup shuffles, on ``customer_id``
+(both sides, so AQE can split a skewed customer; or it is broadcast when
+its measured size allows).  Inner joins and the reviews left join commute
+because the reviews join touches only ``order_id``.
 """
 
 from __future__ import annotations
