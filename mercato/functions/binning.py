@@ -143,21 +143,31 @@ def qcut(
 ) -> DataFrame:
     """Add ``out`` = quantile bin (1..q) of ``value``, like ``pd.qcut(x, q)``.
 
-    Without ``group`` the edges are one array from a scalar subquery
-    (evaluated once, no join), placed in a column once and then compared.
-    With ``group`` the per-group edge table (one row per group) is joined on
-    the group keys.
+    One ranking pass: every row is numbered within its group by
+    (value nulls last, tiebreak), so non-null rows are 1..n; the rows are
+    written once by the ranker, the quantile edges read 2 rows per edge from
+    that copy, and the output rows come from the same copy, so the input is
+    computed once.  Without ``group`` the edges are a scalar subquery; with
+    ``group`` the per-group edge table (one row per group) is joined.
     """
-    x = F.col(value)
-    if not group:
-        e = bin_edges(df, value, q, tiebreak=tiebreak, num_partitions=num_partitions)
-        return df.withColumn("_edges", e).withColumn(out, apply_bins(x, F.col("_edges"), q, duplicates)).drop(
-            "_edges"
-        )
+    group = list(group)
+    keyed = group or ["_g"]
     probs = [i / q for i in range(q + 1)]
-    edges = quantile_table(df, value, probs, group=group, tiebreak=tiebreak, num_partitions=num_partitions)
-    joined = df.join(edges.select(*group, "_edges"), list(group), "left")
-    return joined.withColumn(out, apply_bins(x, F.col("_edges"), q, duplicates)).drop("_edges")
+    base = df.withColumn("_x", F.col(value).cast("double"))
+    if not group:
+        base = base.withColumn("_g", F.lit(0))
+    ranked, _ = rank_with_offsets(
+        base, [F.col("_x").asc_nulls_last(), *tiebreak], group=keyed, count_col=None, num_partitions=num_partitions
+    )
+    nonnull = ranked.where(F.col("_x").isNotNull())
+    counts = nonnull.groupBy(*keyed).agg(F.count(F.lit(1)).alias("_n"))
+    edges = quantiles_from_ranked(nonnull, counts, "_x", probs, keyed)
+    if not group:
+        binned = ranked.withColumn("_edges", edges.select("_edges").scalar())
+    else:
+        binned = ranked.join(edges.select(*keyed, "_edges"), keyed, "left")
+    binned = binned.withColumn(out, apply_bins(F.col("_x"), F.col("_edges"), q, duplicates))
+    return binned.select(*df.columns, out)
 
 
 def label_bucket(bucket: Column, labels: Sequence) -> Column:

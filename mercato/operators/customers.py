@@ -38,8 +38,7 @@ def customer_value(fact: DataFrame) -> DataFrame:
 
 def customer_value_segments(fact: DataFrame) -> DataFrame:
     """Quartile value segments Low/Medium/High/VIP on total spend (``qcut(.., 4)``)."""
-    cv = reuse_checkpointed(customer_value(fact))
-    binned = qcut(cv, "total_spent", 4, "segment_rank", tiebreak=[CUST])
+    binned = qcut(customer_value(fact), "total_spent", 4, "segment_rank", tiebreak=[CUST])
     return binned.withColumn("value_segment", label_bucket(F.col("segment_rank"), VALUE_SEGMENT_LABELS))
 
 

@@ -76,3 +76,13 @@ def test_running_totals(spark):
     df = spark.createDataFrame(pdf).repartition(5)
     got = running_totals(df, ["k"], ["v"], num_partitions=6).orderBy("k").toPandas()
     assert got["cum_v"].tolist() == pdf["v"].cumsum().tolist()
+
+
+def test_qcut_keeps_nulls_like_pandas(spark):
+    vals = [5.0, None, 1.0, 3.0, None, 9.0, 7.0, 2.0, 8.0, 4.0, 6.0]
+    want = pd.qcut(pd.Series(vals, dtype=float), 4, labels=False)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, x double").repartition(3)
+    got = qcut(df, "x", 4, "b", tiebreak=["id"]).orderBy("id").toPandas()
+    assert list(got.columns) == ["id", "x", "b"]
+    for g, w in zip(got["b"], want):
+        assert (pd.isna(g) and pd.isna(w)) or g == w + 1
