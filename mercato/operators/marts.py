@@ -135,22 +135,27 @@ def top_sellers(items: DataFrame, sellers: DataFrame, reviews: DataFrame, n: int
         F.sum("review_score").alias("_score_sum"),
         F.count("review_score").alias("_score_n"),
     )
-    weighted = items.join(per_order, "order_id", "left").select(
-        "seller_id",
-        "order_id",
-        "order_item_id",
-        "price",
-        F.coalesce("_rows", F.lit(1)).alias("_w"),
-        F.coalesce("_score_sum", F.lit(0)).alias("_score_sum"),
-        F.coalesce("_score_n", F.lit(0)).alias("_score_n"),
+    w = F.coalesce("_rows", F.lit(1))
+    # Pre-aggregate to one row per (order, seller) before the seller shuffle:
+    # on order-bucketed items this needs no exchange, and it turns the
+    # per-seller distinct order count into a row count.
+    per_order_seller = (
+        items.join(per_order, "order_id", "left")
+        .groupBy("order_id", "seller_id")
+        .agg(
+            F.sum(F.col("price") * w).alias("_rev"),
+            F.sum(F.when(F.col("order_item_id").isNotNull(), w).otherwise(0)).alias("_items"),
+            F.sum(F.coalesce("_score_sum", F.lit(0))).alias("_score_sum"),
+            F.sum(F.coalesce("_score_n", F.lit(0))).alias("_score_n"),
+        )
     )
-    joined = weighted.join(sellers, "seller_id", "left").where(
+    joined = per_order_seller.join(sellers, "seller_id", "left").where(
         F.col("seller_city").isNotNull() & F.col("seller_state").isNotNull()
     )
     agg = joined.groupBy("seller_id", "seller_city", "seller_state").agg(
-        F.round(F.sum(F.col("price") * F.col("_w")).cast("double"), 2).alias("revenue"),
-        F.countDistinct("order_id").alias("orders"),
-        F.sum(F.when(F.col("order_item_id").isNotNull(), F.col("_w")).otherwise(0)).cast("bigint").alias("items_sold"),
+        F.round(F.sum("_rev").cast("double"), 2).alias("revenue"),
+        F.count("order_id").alias("orders"),  # one row per (order, seller)
+        F.sum("_items").cast("bigint").alias("items_sold"),
         F.round(F.try_divide(F.sum("_score_sum").cast("double"), F.sum("_score_n").cast("double")), 2).alias(
             "avg_review_score"
         ),
