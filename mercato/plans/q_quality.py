@@ -26,7 +26,28 @@ _NULL_SQL = " UNION ALL ".join(
 )
 
 
-@register("dq_schema")
+def _schema_sql() -> str:
+    from mercato.sources.schemas import CANONICAL_SCHEMAS
+
+    ids = "('string', 'bigint', 'int')"
+    spark_type = (
+        "CASE typeof({c}) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' "
+        "WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(typeof({c})) END"
+    )
+    parts = []
+    for t, schema in CANONICAL_SCHEMAS.items():
+        for f in schema.fields:
+            e = f.dataType.simpleString()
+            a = spark_type.format(c=f.name)
+            parts.append(
+                f"(SELECT '{t}' AS table_name, '{f.name}' AS column_name, '{e}' AS expected_type, "
+                f"{a} AS actual_type, true AS present, "
+                f"({a} = '{e}' OR ('{e}' IN {ids} AND {a} IN {ids})) AS type_ok FROM {_VIEW[t]} LIMIT 1)"
+            )
+    return " UNION ALL ".join(parts)
+
+
+@register("dq_schema", _schema_sql())
 def q_dq_schema(spark, d):
     """Declared vs actual column types of every loaded table (metadata only)."""
     return dq.schema_report(tables(spark, d))
