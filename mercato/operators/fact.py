@@ -23,7 +23,13 @@ from pyspark.sql import functions as F
 from mercato.functions.timefx import month_text
 
 
-def sales_fact(tables: dict[str, DataFrame], grain: str = "reference") -> DataFrame:
+def sales_fact(tables: dict[str, DataFrame], grain: str = "reference", with_reviews: bool = True) -> DataFrame:
+    """The fact; ``with_reviews=False`` omits the reviews left join.
+
+    Leaving it out is only valid for consumers of distinct (person, month) or
+    (person, order) sets, which a left join can only multiply, never change:
+    the cohort operators use it.
+    """
     orders = tables["orders"]
     payments = tables["payments"]
     customers = tables["customers"]
@@ -41,11 +47,10 @@ def sales_fact(tables: dict[str, DataFrame], grain: str = "reference") -> DataFr
     elif grain != "reference":
         raise ValueError(f"unknown grain {grain!r}")
 
-    fact = (
-        orders.join(payments, "order_id", "inner")
-        .join(reviews, "order_id", "left")
-        .join(customers, "customer_id", "inner")
-    )
+    fact = orders.join(payments, "order_id", "inner")
+    if with_reviews:
+        fact = fact.join(reviews, "order_id", "left")
+    fact = fact.join(customers, "customer_id", "inner")
     return fact.withColumn("order_month", month_text("order_purchase_timestamp"))
 
 

@@ -26,7 +26,8 @@ cr AS (
 
 
 def _assign(spark, d):
-    return co.cohort_assignment(sales_fact(tables(spark, d)))
+    # Cohorts read distinct (person, month) pairs: the reviews fan-out cannot change them.
+    return co.cohort_assignment(sales_fact(tables(spark, d), with_reviews=False))
 
 
 @register("cohort_assignment", _COHORT + "\nSELECT * FROM cp")

@@ -46,7 +46,7 @@ def analysis_tables(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The analysis run: trend, value segments, payments, geography, satisfaction, cohorts, RFM."""
     fact = sales_fact(t)
     segments = cu.customer_value_segments(fact)
-    counts = co.cohort_counts(co.cohort_assignment(fact))
+    counts = co.cohort_counts(co.cohort_assignment(sales_fact(t, with_reviews=False)))
     retention = co.cohort_retention(counts)
     scored = cu.rfm_scored(cu.rfm_base(fact, frequency="rows"))
     return {
