@@ -103,18 +103,30 @@ def order_status(orders: DataFrame) -> DataFrame:
 
 
 def top_categories(items: DataFrame, products: DataFrame, translation: DataFrame, n: int = 20) -> DataFrame:
-    """Category revenue: English name, else original name, else ``'unknown'``."""
-    cat = items.join(products.select("product_id", "product_category_name"), "product_id", "left").join(
+    """Category revenue: English name, else original name, else ``'unknown'``.
+
+    Items are first reduced to one row per (order, product) - no exchange on
+    order-bucketed items - then mapped to categories; distinct orders per
+    category are the rows of a (category, order) aggregate, and the mean
+    price is the exact decimal sum over the item count.
+    """
+    per_order_product = items.groupBy("order_id", "product_id").agg(
+        F.sum("price").alias("_rev"), F.count("price").alias("_cnt")
+    )
+    cat = per_order_product.join(products.select("product_id", "product_category_name"), "product_id", "left").join(
         translation, "product_category_name", "left"
     )
     cat = cat.withColumn(
         "category",
         F.coalesce(F.col("product_category_name_english"), F.col("product_category_name"), F.lit("unknown")),
     )
-    agg = cat.groupBy("category").agg(
-        F.round(money_sum("price"), 2).alias("revenue"),
-        F.countDistinct("order_id").alias("orders"),
-        F.round(exact_mean("price"), 2).alias("avg_price"),
+    per_category_order = cat.groupBy("category", "order_id").agg(
+        F.sum("_rev").alias("_rev"), F.sum("_cnt").alias("_cnt")
+    )
+    agg = per_category_order.groupBy("category").agg(
+        F.round(F.sum("_rev").cast("double"), 2).alias("revenue"),
+        F.count("order_id").alias("orders"),  # one row per (category, order)
+        F.round(F.try_divide(F.sum("_rev").cast("double"), F.sum("_cnt").cast("double")), 2).alias("avg_price"),
     )
     return top_n(agg, n, F.desc("revenue"), "category")
 
