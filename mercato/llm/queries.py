@@ -5,13 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mercato.llm import language, quality, secrets
+from mercato.llm import chat, decontam, fingerprint, language, mixing, quality, secrets
 from mercato.llm.text import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_report(documents(spark, sf_dir))
+
+
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_matches(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_report(documents(spark, sf_dir))
 
@@ -20,13 +29,30 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.plan_mix(documents(spark, sf_dir))
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    control = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").cast(conversations.schema["turn"].dataType).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    rows = conversations.select("conv_id", "turn", "role", "text").unionByName(control)
+    return chat.chat_report(rows)
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_report(documents(spark, sf_dir))
 
 
 def llm_queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op3_language_id, op4_quality_classifier, op9_secret_scan)}
+    return {f.__name__: f for f in (op1_document_fingerprints, op2_benchmark_decontamination, op3_language_id, op4_quality_classifier, op6_source_mixing, op7_chat_formatting, op9_secret_scan)}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op7_chat_formatting": chat.CHAT_SQL}
