@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import chat, decontam, fingerprint, language, mixing, quality, secrets
+from mercato.llm import chat, decontam, fingerprint, jaccard_join, language, mixing, quality, secrets
 from mercato.llm.text import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -46,12 +46,16 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_report(rows)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_documents(documents(spark, sf_dir))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_report(documents(spark, sf_dir))
 
 
 def llm_queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_document_fingerprints, op2_benchmark_decontamination, op3_language_id, op4_quality_classifier, op6_source_mixing, op7_chat_formatting, op9_secret_scan)}
+    return {f.__name__: f for f in (op1_document_fingerprints, op2_benchmark_decontamination, op3_language_id, op4_quality_classifier, op6_source_mixing, op7_chat_formatting, op8_jaccard_join, op9_secret_scan)}
 
 
 def llm_oracles() -> dict[str, str]:
