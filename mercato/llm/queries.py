@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import chat, decontam, fingerprint, jaccard_join, language, mixing, quality, secrets
+from mercato.llm import chat, decontam, fingerprint, jaccard_join, language, line_dedup, lm_score, mixing, quality, secrets
 from mercato.llm.text import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_report(documents(spark, sf_dir))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(documents(spark, sf_dir))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -54,9 +58,27 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_report(documents(spark, sf_dir))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(documents(spark, sf_dir))
+
+
+OPERATORS = (
+    op1_document_fingerprints,
+    op2_benchmark_decontamination,
+    op3_language_id,
+    op4_quality_classifier,
+    op5_line_dedup,
+    op6_source_mixing,
+    op7_chat_formatting,
+    op8_jaccard_join,
+    op9_secret_scan,
+    op10_lm_scoring,
+)
+
+
 def llm_queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in (op1_document_fingerprints, op2_benchmark_decontamination, op3_language_id, op4_quality_classifier, op6_source_mixing, op7_chat_formatting, op8_jaccard_join, op9_secret_scan)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op7_chat_formatting": chat.CHAT_SQL}
+    return {"op7_chat_formatting": chat.CHAT_SQL, "op10_lm_scoring": lm_score.LM_SQL}
