@@ -293,8 +293,7 @@ def linked_documents(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each component: the one with the smallest doc_id (of repeated rows one)."""
-    lead = linked_documents(docs).groupBy("component_id").agg(F.max("n_shingles").alias("n"))
-    chosen = lead.select(F.col("component_id").alias("doc_id"), "n")
-    kept = docs.join(chosen.select("doc_id"), "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    """One document of each component: a row of its smallest doc_id.  Rows with a null doc_id are kept, repeated ones once."""
+    chosen = linked_documents(docs).select(F.col("component_id").alias("doc_id")).distinct()
+    kept = docs.join(chosen, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where(F.col("doc_id").isNull()).dropDuplicates())

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from mercato.llm.text import row_slices
 
@@ -36,6 +37,7 @@ EMBED = 8
 PER_LANG = 1500
 SAMPLE_WINDOWS = 2
 UND = "und"
+MIN_SCORE = 0.3  # a document whose best language scores less is rejected
 
 
 @dataclass
@@ -183,14 +185,21 @@ def held_out(of: int = 3, remainder: int = 1):
 
 
 def predict_language(docs: DataFrame, model: ByteCNN | None) -> DataFrame:
-    """``doc_id, lang_pred, score`` of every whole text; only the text is read."""
+    """``docs`` without its text, with ``lang_pred`` and ``score``; see ``identified_documents``."""
+    return identified_documents(docs, model).drop("text")
+
+
+def identified_documents(docs: DataFrame, model: ByteCNN | None) -> DataFrame:
+    """All columns of ``docs`` (of the same names, replaced) and ``lang_pred, score`` of every whole text; only the text is read."""
+    docs = docs.drop("lang_pred", "score").withColumn("text", F.col("text").cast("string"))
     langs = model.langs if model else [UND]
+    at = docs.columns.index("text")
     handle = docs.sparkSession.sparkContext.broadcast((model.tables(), model.U, model.c) if model else None)
 
     def run(batches):
         net = handle.value
         for b in row_slices(batches):
-            texts = b.column(1).to_pylist()
+            texts = b.column(at).to_pylist()
             pred, score = [UND] * len(texts), [0.0] * len(texts)
             known = [(i, t.encode("utf-8", "surrogatepass")) for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
             if net is not None and known:
@@ -201,11 +210,10 @@ def predict_language(docs: DataFrame, model: ByteCNN | None) -> DataFrame:
                 for i, data in known:
                     p = total[i] / len(data)
                     pred[i], score[i] = langs[int(p.argmax())], float(min(1.0, p.max()))
-            yield pa.record_batch([b.column(0), pa.array(pred), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
+            yield pa.record_batch([*b.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=[*b.schema.names, "lang_pred", "score"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, lang_pred string, score double"
-    )
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return docs.mapInArrow(run, schema)
 
 
 def window_chunks(texts: list[tuple[int, bytes]], at_most: int = 512):
@@ -229,6 +237,11 @@ def window_chunks(texts: list[tuple[int, bytes]], at_most: int = 512):
 
 
 def language_report(docs: DataFrame) -> DataFrame:
-    model = fit(docs)
-    found = predict_language(docs, model)
+    found = predict_language(docs.select("doc_id", "text"), fit(docs))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def accepted_documents(docs: DataFrame) -> DataFrame:
+    """Documents in a learned language: neither ``und`` nor below ``MIN_SCORE``; a null ``lang`` is filled in."""
+    d = identified_documents(docs, fit(docs)).where((F.col("lang_pred") != UND) & (F.col("score") >= MIN_SCORE))
+    return d.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)

@@ -101,65 +101,82 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, dp_words: int
     return take
 
 
-def plan_mix(docs: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = SEED) -> DataFrame:
-    """``doc_id, size, source_size, target, copies, taken`` for every document."""
-    sized = reuse_checkpointed(
-        docs.select(
-            "doc_id",
-            n_words(F.col("text")).alias("size"),
-            "source",
-            F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("source_key"),
-            F.xxhash64(F.col("doc_id"), F.lit(seed)).alias("h"),
-        ).withColumn("range", F.pmod(F.col("h"), F.lit(HASH_RANGES)))
+KEY = ("_source_key", "_size", "_range")
+
+
+def _keyed(docs: DataFrame, seed: int) -> DataFrame:
+    """``docs`` with its size, source key, seeded hash and hash range."""
+    h = F.xxhash64(F.col("doc_id"), F.lit(seed))
+    return docs.withColumns(
+        {
+            "_size": n_words(F.col("text")),
+            "_source_key": F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")),
+            "_h": h,
+            "_range": F.pmod(h, F.lit(HASH_RANGES)),
+        }
     )
-    lengths = reuse_checkpointed(sized.groupBy("source_key", "size", "range").agg(F.count("*").alias("n"), F.first("source").alias("source")))
-    sources = lengths.groupBy("source_key").agg(F.first("source").alias("source"), F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    targets = source_targets(sources, weights, max_repeats)
+
+
+def _budgets(counts: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """Per (source, length, hash range): ``source_size, target, whole, need`` from the counts ``n`` and names ``source``.
+
+    Every document is taken ``whole`` times, the first ``need`` of the range once more.
+    """
+    sources = counts.groupBy("_source_key").agg(F.first("source").alias("source"), F.sum(F.col("_size") * F.col("n")).alias("source_size"))
+    targets = source_targets(sources.withColumnRenamed("_source_key", "source_key"), weights, max_repeats).withColumnRenamed("source_key", "_source_key")
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("size", kind="stable")
+        pdf = pdf.sort_values("_size", kind="stable")
         total, target = int(pdf["source_size"].iloc[0]), float(pdf["target"].iloc[0])
         budget = int(target + 0.5)
         whole = min(max_repeats, budget // total) if total else 0
-        sizes, counts = pdf["size"].to_numpy(), pdf["n"].to_numpy()
+        sizes, n = pdf["_size"].to_numpy(), pdf["n"].to_numpy()
         extra = np.zeros(len(pdf), dtype=np.int64)
         if whole < max_repeats:
             some = sizes > 0
-            extra[some] = fit_budget(sizes[some], counts[some], budget - whole * total)
-        return pd.DataFrame(
-            {"source_key": pdf["source_key"], "size": sizes, "source_size": total, "target": target, "whole": whole, "extra": extra}
-        )
+            extra[some] = fit_budget(sizes[some], n[some], budget - whole * total)
+        return pd.DataFrame({"_source_key": pdf["_source_key"], "_size": sizes, "source_size": total, "target": target, "whole": whole, "extra": extra})
 
     fitted = (
-        lengths.groupBy("source_key", "size")
+        counts.groupBy("_source_key", "_size")
         .agg(F.sum("n").alias("n"))
-        .join(targets, "source_key")
-        .groupBy("source_key")
-        .applyInPandas(fit, "source_key string, size long, source_size long, target double, whole long, extra long")
-    )
-    earlier = Window.partitionBy("source_key", "size").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    need = (
-        lengths.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-        .join(fitted, ["source_key", "size"])
-        .select("source_key", "size", "range", "source_size", "target", "whole", (F.col("extra") - F.col("before")).alias("need"))
+        .join(targets, "_source_key")
+        .groupBy("_source_key")
+        .applyInPandas(fit, "_source_key string, _size long, source_size long, target double, whole long, extra long")
     )
-    rank = F.row_number().over(Window.partitionBy("source_key", "size", "range").orderBy("h", "doc_id"))
-    copies = F.when(F.col("size") == 0, F.lit(0)).otherwise(F.col("whole") + (rank <= F.col("need")).cast("long"))
-    return sized.join(need, ["source_key", "size", "range"]).select(
-        "doc_id", "size", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken")
+    earlier = Window.partitionBy("_source_key", "_size").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        .join(fitted, ["_source_key", "_size"])
+        .select(*KEY, "source_size", "target", "whole", (F.col("extra") - F.col("before")).alias("need"))
     )
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mixed corpus: every document as often as the plan takes it, with its ``copy`` number from 1.
+def _planned(keyed: DataFrame, counted: DataFrame) -> DataFrame:
+    """``keyed`` with ``source_size``, ``target`` and ``copies``."""
+    counts = reuse_checkpointed(counted.groupBy(*KEY).agg(F.count("*").alias("n"), F.first("source").alias("source")))
+    need = _budgets(counts).select(*KEY, F.struct("source_size", "target", "whole", "need").alias("_b"))
+    rank = F.row_number().over(Window.partitionBy(*KEY).orderBy("_h", "doc_id"))
+    copies = F.when(F.col("_size") == 0, F.lit(0)).otherwise(F.col("_b.whole") + (rank <= F.col("_b.need")).cast("long"))
+    return keyed.join(need, list(KEY)).withColumn("_copies", copies.cast("long"))
 
-    Rows that share a doc_id and a size are matched to the plan's rows by rank, so each is taken as planned.
-    """
-    same = Window.partitionBy("doc_id", "size")
-    rows = docs.withColumn("size", n_words(F.col("text")))
-    rows = rows.withColumn("nth", F.row_number().over(same.orderBy(F.col("source").asc_nulls_last(), "text")))
-    plan = plan_mix(docs).withColumn("nth", F.row_number().over(same.orderBy("copies")))
-    p = plan.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("nth").alias("_nth"), "copies")
-    on = rows["doc_id"].eqNullSafe(p["_id"]) & (rows["size"] == p["_size"]) & (rows["nth"] == p["_nth"])
-    copy = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return rows.join(p, on).where("copies > 0").select(*docs.columns, "size", copy.alias("copy"))
+
+def plan_mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """``doc_id, size, source_size, target, copies, taken`` for every document."""
+    sized = reuse_checkpointed(_keyed(docs.select("doc_id", "source", "text"), seed).drop("text"))
+    return _planned(sized, sized).select(
+        "doc_id",
+        F.col("_size").alias("size"),
+        "_b.source_size",
+        "_b.target",
+        F.col("_copies").alias("copies"),
+        (F.col("_copies") * F.col("_size")).alias("taken"),
+    )
+
+
+def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """The mixed corpus: every document as often as the plan takes it, with its ``size`` and ``copy`` number from 1."""
+    keyed = _keyed(docs, seed)
+    copy = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
+    names = [c for c in docs.columns if c not in ("size", "copy")]
+    return _planned(keyed, keyed).where("_copies > 0").select(*names, F.col("_size").alias("size"), copy.alias("copy"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from mercato.llm import chat, decontam, fingerprint, jaccard_join, language, line_dedup, lm_score, mixing, quality, secrets
 from mercato.llm.text import documents
 
@@ -77,8 +78,9 @@ OPERATORS = (
 
 
 def llm_queries() -> dict[str, QueryFn]:
-    return {f.__name__: f for f in OPERATORS}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in OPERATORS}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op7_chat_formatting": chat.CHAT_SQL, "op10_lm_scoring": lm_score.LM_SQL}
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return pipeline | {"op7_chat_formatting": chat.CHAT_SQL, "op10_lm_scoring": lm_score.LM_SQL}
