@@ -54,6 +54,26 @@ def sales_fact(tables: dict[str, DataFrame], grain: str = "reference", with_revi
     return fact.withColumn("order_month", month_text("order_purchase_timestamp"))
 
 
-def delivered_orders(orders: DataFrame) -> DataFrame:
-    """Delivered orders that have a delivery date (the delivery-analysis population)."""
-    return orders.where(F.col("order_status") == "delivered").na.drop(subset=["order_delivered_customer_date"])
+def sales_by_order(tables: dict[str, DataFrame], with_reviews: bool = True) -> DataFrame:
+    """The reference fact reduced to one row per order before its customer is joined.
+
+    An order's ``p`` payments and ``r`` reviews make ``p * max(r, 1)`` fact rows;
+    here ``payment_value`` is their sum (DECIMAL, exact) and ``fact_rows`` their
+    number, applied as a weight, so no multiplied row is ever made.  Payments and
+    reviews are reduced on ``order_id`` first (no exchange on landed tables); the
+    customer join then shuffles one row per order.  ``customer_id`` is the key of
+    the customers, so an order keeps one row.
+    """
+    payments = tables["payments"].groupBy("order_id").agg(
+        F.sum("payment_value").alias("_paid"), F.count(F.lit(1)).alias("_payments")
+    )
+    sales = tables["orders"].join(payments, "order_id", "inner")
+    weight = F.lit(1)
+    if with_reviews:
+        reviews = tables["reviews"].groupBy("order_id").agg(F.count(F.lit(1)).alias("_reviews"))
+        sales = sales.join(reviews, "order_id", "left")
+        weight = F.coalesce("_reviews", F.lit(1))
+    sales = sales.withColumn("payment_value", (F.col("_paid") * weight).cast("decimal(28,2)"))
+    sales = sales.withColumn("fact_rows", F.col("_payments") * weight).drop("_paid", "_payments", "_reviews")
+    sales = sales.join(tables["customers"], "customer_id", "inner")
+    return sales.withColumn("order_month", month_text("order_purchase_timestamp"))

@@ -1,20 +1,21 @@
 """Incremental refresh of the monthly revenue mart with Structured Streaming.
 
-New payment files landing in a folder are read by the file source; each
-micro-batch is joined to the static order, review and customer tables
-(stream-static joins, the stream on the left so the reviews left join is
-allowed) and folded into a streaming aggregation keyed by month.  The
-running sums live in Spark's state store (checkpointed), so a restart
-continues from the last committed batch and files are read exactly once.
-Every batch rewrites the whole mart (complete mode: one row per month) into
-a Parquet folder through ``foreachBatch``.
+Orders, payments, reviews and customers land as files, in any order.  One
+streaming query per table appends every micro-batch to a landed Parquet table
+(a folder per batch, overwritten when a batch is retried) and then recomputes
+the months that the batch touches, from all landed rows, and replaces only
+those months of the mart (a folder per month, dynamic partition overwrite: a
+failed batch leaves the earlier files in place).
 
+A payment whose order lands later is therefore counted when the order lands,
+and a later review changes the fan-out of its order's month.
 ``trigger(availableNow=True)`` processes what has landed and stops, the
 batch-friendly way to run "refresh when new data lands".
 """
 
 from __future__ import annotations
 
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,53 +23,80 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from mercato.functions.timefx import month_text
+from mercato.operators.fact import sales_by_order
 from mercato.session import ensure_checkpoint_dir
 from mercato.sources.readers import load_parquet_tables
-from mercato.sources.roles import RAW_TABLES, payments_view, role_tables
+from mercato.sources.roles import RAW_TABLES, role_tables
 
+STREAMED = ("customers", "orders", "payments", "reviews")
 
-def streaming_fact(payments_stream: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """The sales fact for a stream of payment rows (same grain as the batch fact)."""
-    reviews = tables["reviews"].select("order_id", F.col("review_score").cast("double").alias("review_score"))
-    fact = (
-        payments_stream.join(tables["orders"], "order_id", "inner")
-        .join(reviews, "order_id", "left")
-        .join(tables["customers"], "customer_id", "inner")
-    )
-    return fact.withColumn("order_month", month_text("order_purchase_timestamp"))
 
+class RevenueRefresh:
+    """The landed tables and the mart under ``root``; ``start`` one query per streamed table."""
 
-def start_monthly_revenue(
-    payments_stream: DataFrame,
-    tables: dict[str, DataFrame],
-    out_dir: str,
-    checkpoint: str,
-    available_now: bool = True,
-) -> StreamingQuery:
-    agg = streaming_fact(payments_stream, tables).groupBy("order_month").agg(
-        F.sum("payment_value").alias("revenue_exact")
-    )
+    def __init__(self, spark: SparkSession, root: str, schemas: dict):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.lock = threading.Lock()  # one refresh at a time when the queries run side by side
+        for name in STREAMED:
+            # An empty batch, so that a table can be read before its first file lands.
+            spark.createDataFrame([], schemas[name]).write.mode("overwrite").parquet(f"{self._table(name)}/batch=-1")
 
-    def write_mart(batch: DataFrame, epoch_id: int) -> None:
-        batch.select("order_month", F.round(F.col("revenue_exact").cast("double"), 2).alias("revenue")).write.mode(
-            "overwrite"
-        ).parquet(out_dir)
+    def _table(self, name: str) -> str:
+        return f"{self.root}/landed/{name}"
 
-    writer = agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(write_mart)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    def landed(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(self._table(name)).drop("batch")
+
+    def mart(self) -> DataFrame:
+        return self.spark.read.option("basePath", f"{self.root}/mart").schema("revenue double, order_month string").parquet(
+            f"{self.root}/mart"
+        ).select("order_month", "revenue")
+
+    def touched_months(self, name: str, batch: DataFrame) -> DataFrame:
+        """Months of the landed orders that the batch's rows belong to."""
+        orders = self.landed("orders").select("order_id", "customer_id", month_text("order_purchase_timestamp").alias("order_month"))
+        key = "customer_id" if name == "customers" else "order_id"
+        return orders.join(batch.select(key).distinct(), key, "left_semi").select("order_month").distinct()
+
+    def apply(self, name: str, batch: DataFrame, epoch: int) -> None:
+        """Land one micro-batch and refresh its months; repeating an epoch gives the same state."""
+        path = f"{self._table(name)}/batch={epoch}"
+        with self.lock:
+            batch.write.mode("overwrite").parquet(path)
+            months = self.touched_months(name, self.spark.read.parquet(path))
+            tables = {n: self.landed(n) for n in STREAMED}
+            orders = tables["orders"].withColumn("_month", month_text("order_purchase_timestamp"))
+            tables["orders"] = orders.join(months, orders["_month"] == months["order_month"], "left_semi").drop("_month")
+            revenue = sales_by_order(tables).groupBy("order_month").agg(
+                F.round(F.sum("payment_value").cast("double"), 2).alias("revenue")
+            )
+            revenue.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("order_month").parquet(f"{self.root}/mart")
+
+    def start(self, name: str, stream: DataFrame, available_now: bool = True) -> StreamingQuery:
+        writer = stream.writeStream.option("checkpointLocation", f"{self.root}/checkpoints/{name}")
+        writer = writer.foreachBatch(lambda batch, epoch: self.apply(name, batch, epoch))
+        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+        return writer.start()
+
+    def run_available(self, streams: dict[str, DataFrame]) -> None:
+        """Process everything that has landed, table by table."""
+        for name, stream in streams.items():
+            q = self.start(name, stream)
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise RuntimeError(f"refresh of {name} failed: {q.exception()}")
 
 
 def monthly_revenue_stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run the stream over the test payments (lineitem file) to completion; return the mart."""
+    """Run the refresh over the test tables' files, payments first, to completion; return the mart."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    run = f"{base}/mercato-stream-{uuid.uuid4().hex}"
     raw = load_parquet_tables(spark, sf_dir, RAW_TABLES)
-    tables = role_tables(raw)
-    # The file source streams folders; a glob selects the single test file.
-    lineitem_stream = spark.readStream.schema(raw["lineitem"].schema).parquet(f"{sf_dir}/lineitem.parque[t]")
-    q = start_monthly_revenue(payments_view(lineitem_stream), tables, f"{run}/mart", f"{run}/checkpoint")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(f"monthly revenue stream failed: {q.exception()}")
-    return spark.read.parquet(f"{run}/mart")
+    schemas = {n: df.schema for n, df in role_tables(raw).items()}
+    # The file source streams folders; a glob selects the single test file.  Dimensions of customers stay static.
+    streams = dict(raw)
+    for t in ("orders", "lineitem", "customer"):
+        streams[t] = spark.readStream.schema(raw[t].schema).parquet(f"{sf_dir}/{t}.parque[t]")
+    tables = role_tables(streams)
+    refresh = RevenueRefresh(spark, f"{base}/mercato-stream-{uuid.uuid4().hex}", schemas)
+    refresh.run_available({n: tables[n] for n in ("payments", "reviews", "customers", "orders")})
+    return refresh.mart()

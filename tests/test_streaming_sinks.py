@@ -5,38 +5,68 @@ from __future__ import annotations
 import glob
 import os
 import tempfile
+from datetime import datetime
+from decimal import Decimal
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from mercato.operators import marts
 from mercato.operators.fact import sales_fact
 from mercato.sources.readers import load_parquet_tables
-from mercato.sources.roles import RAW_TABLES, payments_view, role_tables
+from mercato.sources.roles import RAW_TABLES, role_tables
 from mercato.sources.sinks import export_marts, write_report
-from mercato.streaming.incremental import start_monthly_revenue
-
-
-def test_stream_refresh_matches_batch(spark):
-    raw = load_parquet_tables(spark, SF_SMALL, RAW_TABLES)
-    t = role_tables(raw)
-    run = tempfile.mkdtemp(prefix="mercato-stream-")
-    landing = f"{run}/landing"
-    li = raw["lineitem"]
-    # Payments land in three files over time.
-    li.where(F.col("l_orderkey") % 3 == 0).write.parquet(f"{landing}/a")
-    stream = spark.readStream.schema(li.schema).parquet(f"{landing}/*")
-    q = start_monthly_revenue(payments_view(stream), t, f"{run}/mart", f"{run}/ckpt")
-    q.awaitTermination()
-    first = spark.read.parquet(f"{run}/mart").count()
-    li.where(F.col("l_orderkey") % 3 != 0).write.parquet(f"{landing}/b")
-    stream = spark.readStream.schema(li.schema).parquet(f"{landing}/*")
-    q = start_monthly_revenue(payments_view(stream), t, f"{run}/mart", f"{run}/ckpt")
-    q.awaitTermination()
-    got = spark.read.parquet(f"{run}/mart").toPandas().sort_values("order_month").reset_index(drop=True)
+from mercato.streaming.incremental import RevenueRefresh
+
+
+def _refresh(spark, steps):
+    """Land the given (table, rows) steps one after the other, each with its own run; the mart as a dict."""
+    root = tempfile.mkdtemp(prefix="mercato-stream-")
+    schemas = {
+        "customers": "customer_id long, customer_unique_id long, customer_city string, customer_state string",
+        "orders": "order_id long, customer_id long, order_status string, order_purchase_timestamp timestamp_ntz",
+        "payments": "order_id long, payment_value decimal(18,2)",
+        "reviews": "review_id long, order_id long, review_score int",
+    }
+    empty = {n: spark.createDataFrame([], s) for n, s in schemas.items()}
+    refresh = RevenueRefresh(spark, root, {n: df.schema for n, df in empty.items()})
+    for name, rows in steps:
+        spark.createDataFrame(rows, empty[name].schema).write.mode("append").parquet(f"{root}/files/{name}")
+        refresh.run_available({name: spark.readStream.schema(empty[name].schema).parquet(f"{root}/files/{name}")})
+    return {r["order_month"]: r["revenue"] for r in refresh.mart().collect()}
+
+
+CUSTOMERS = ("customers", [(1, 1, "c", "s")])
+
+
+def _order(k, month):
+    return (k, 1, "delivered", datetime(2020, month, 5))
+
+
+def test_order_after_its_payment(spark):
+    steps = [CUSTOMERS, ("orders", [_order(1, 1)]), ("payments", [(1, Decimal("11.00")), (2, Decimal("20.00"))])]
+    assert _refresh(spark, steps) == {"2020-01": 11.0}
+    assert _refresh(spark, [*steps, ("orders", [_order(2, 1)])]) == {"2020-01": 31.0}
+
+
+def test_review_after_its_payment_and_customer_last(spark):
+    steps = [
+        ("payments", [(1, Decimal("10.00")), (2, Decimal("5.00"))]),
+        ("orders", [_order(1, 1), _order(2, 2)]),
+        ("reviews", [(1, 1, 5)]),
+        CUSTOMERS,
+    ]
+    assert _refresh(spark, steps) == {"2020-01": 10.0, "2020-02": 5.0}
+    # A second review of order 1 doubles its payment rows in the fact, as in the batch mart.
+    assert _refresh(spark, [*steps, ("reviews", [(2, 1, 1)])]) == {"2020-01": 20.0, "2020-02": 5.0}
+
+
+def test_stream_refresh_matches_batch(spark, queries):
+    t = role_tables(load_parquet_tables(spark, SF_SMALL, RAW_TABLES))
+    got = queries["stream_monthly_revenue"](spark, SF_SMALL).toPandas().sort_values("order_month").reset_index(drop=True)
     want = marts.monthly_revenue(sales_fact(t)).toPandas().reset_index(drop=True)
-    assert first > 0
     pd.testing.assert_frame_equal(got, want)
 
 
@@ -87,18 +117,28 @@ def test_csv_export_reader(spark):
 
 
 def test_load_csv_export_directory(spark):
-    from mercato.sources.readers import csv_file_name, load_csv_tables
+    from mercato.sources.readers import load_csv_tables
 
     d = tempfile.mkdtemp(prefix="mercato-export-")
-    with open(os.path.join(d, csv_file_name("sellers", "mk_")), "w") as f:
+    with open(os.path.join(d, "a.csv"), "w") as f:
         f.write("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,01000,campinas,SP\n")
-    with open(os.path.join(d, csv_file_name("category_translation")), "w") as f:
+    with open(os.path.join(d, "b.csv"), "w") as f:
         f.write("product_category_name,product_category_name_english\nbeleza_saude,health_beauty\n")
-    t = load_csv_tables(spark, d, prefix="mk_", names=["sellers", "category_translation"])
+    t = load_csv_tables(spark, {"sellers": os.path.join(d, "a.csv"), "category_translation": os.path.join(d, "b.csv")})
     assert t["sellers"].collect()[0].asDict() == {"seller_id": "s1", "seller_city": "campinas", "seller_state": "SP"}
     assert t["category_translation"].first().product_category_name_english == "health_beauty"
 
 
+def test_csv_without_a_declared_column_is_refused(spark):
+    from mercato.sources.readers import read_csv_table
+
+    path = os.path.join(tempfile.mkdtemp(prefix="mercato-short-"), "orders.csv")
+    with open(path, "w") as f:
+        f.write("order_id,customer_id\no1,c1\n")
+    with pytest.raises(ValueError, match="order_status"):
+        read_csv_table(spark, path, "orders")
+
+
 def test_runs_compose_and_export(spark):
     from mercato.plans.catalog import tables
     from mercato.plans.runs import analysis_tables, bi_marts, dashboard_tables
