@@ -45,7 +45,12 @@ def quantile_table(
 
 
 def quantiles_from_ranked(
-    ranked: DataFrame, offsets: DataFrame, value: str, probs: Sequence[float], group: Sequence[str] = ()
+    ranked: DataFrame,
+    offsets: DataFrame,
+    value: str,
+    probs: Sequence[float],
+    group: Sequence[str] = (),
+    bounded_groups: bool = False,
 ) -> DataFrame:
     """Quantile edges per group from rows already numbered by :func:`rank_with_offsets`.
 
@@ -69,10 +74,10 @@ def quantiles_from_ranked(
     needed = needed.withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_n") - 1))
     wanted = needed.select(*keyed, F.explode(F.array(F.col("_lo") + 1, F.col("_hi") + 1)).alias("_rank")).distinct()
     # One pass over the ranked rows keeps 2 rows per probability and group.
-    # The wanted ranks are 2 per probability: broadcast when ungrouped; with
-    # groups they grow with the group count, so the planner decides.
+    # The wanted ranks are 2 per probability and group: broadcast when the
+    # number of groups is fixed; else they grow with it and the planner decides.
     picked = (
-        ranked.join(F.broadcast(wanted) if not group else wanted, [*keyed, "_rank"], "inner")
+        ranked.join(F.broadcast(wanted) if bounded_groups or not group else wanted, [*keyed, "_rank"], "inner")
         .groupBy(*keyed)
         .agg(F.map_from_entries(F.collect_list(F.struct("_rank", F.col(value).cast("double")))).alias("_m"))
     )
@@ -113,21 +118,8 @@ def _bucket_from_edges(x: Column, edges: Column, q: int, duplicates: str) -> Col
     ).otherwise(bucket)
 
 
-def bin_edges(
-    df: DataFrame,
-    value: str,
-    q: int,
-    tiebreak: Sequence[str] = (),
-    num_partitions: int | None = None,
-) -> Column:
-    """The q+1 ``qcut`` edges of ``value`` as one scalar-subquery column."""
-    probs = [i / q for i in range(q + 1)]
-    edges = quantile_table(df, value, probs, tiebreak=tiebreak, num_partitions=num_partitions)
-    return edges.select("_edges").scalar()
-
-
 def apply_bins(x: Column, edges: Column, q: int, duplicates: str = "raise") -> Column:
-    """Bin ``x`` by edges from :func:`bin_edges` or a grouped edge column."""
+    """Bin ``x`` by a scalar or a grouped edge column."""
     return _bucket_from_edges(x.cast("double"), edges, q, duplicates)
 
 
@@ -151,21 +143,22 @@ def qcut(
     ``group`` the per-group edge table (one row per group) is joined.
     """
     group = list(group)
-    keyed = group or ["_g"]
     probs = [i / q for i in range(q + 1)]
     base = df.withColumn("_x", F.col(value).cast("double"))
-    if not group:
-        base = base.withColumn("_g", F.lit(0))
-    ranked, _ = rank_with_offsets(
-        base, [F.col("_x").asc_nulls_last(), *tiebreak], group=keyed, count_col=None, num_partitions=num_partitions
+    # The offsets carry the number of non-null values, so no pass over the rows counts them.
+    ranked, offsets = rank_with_offsets(
+        base,
+        [F.col("_x").asc_nulls_last(), *tiebreak],
+        group=group,
+        count_col=None,
+        num_partitions=num_partitions,
+        valid=F.col("_x").isNotNull(),
     )
-    nonnull = ranked.where(F.col("_x").isNotNull())
-    counts = nonnull.groupBy(*keyed).agg(F.count(F.lit(1)).alias("_n"))
-    edges = quantiles_from_ranked(nonnull, counts, "_x", probs, keyed)
+    edges = quantiles_from_ranked(ranked, offsets.where("_n > 0"), "_x", probs, group)
     if not group:
         binned = ranked.withColumn("_edges", edges.select("_edges").scalar())
     else:
-        binned = ranked.join(edges.select(*keyed, "_edges"), keyed, "left")
+        binned = ranked.join(edges.select(*group, "_edges"), group, "left")
     binned = binned.withColumn(out, apply_bins(F.col("_x"), F.col("_edges"), q, duplicates))
     return binned.select(*df.columns, out)
 

@@ -42,9 +42,15 @@ def rank_with_offsets(
     rank_col: str = "_rank",
     count_col: str | None = "_n",
     num_partitions: int | None = None,
+    bounded_groups: bool = False,
+    valid: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """:func:`rank_rows` plus its offsets table ``(_pid, *group, _first, _before, _n)``.
 
+    ``bounded_groups`` says that the number of groups is fixed (such as the
+    three metrics of RFM), so the offsets can be broadcast.  With ``valid``,
+    ``_n`` of the offsets counts only the rows for which it is true.
+
     The offsets table has at most ``partitions + groups`` rows; group row
     counts can be read from it without touching the ranked data again.
     """
@@ -58,7 +64,9 @@ def rank_with_offsets(
         .withColumn("_mid", F.monotonically_increasing_id())
     )
     stats = tagged.groupBy("_pid", *group).agg(
-        F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first")
+        F.count(F.lit(1)).alias("_cnt"),
+        F.min("_mid").alias("_first"),
+        F.count_if(valid if valid is not None else F.lit(True)).alias("_valid"),
     )
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.select(
@@ -66,12 +74,12 @@ def rank_with_offsets(
         *group,
         "_first",
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before"),
-        F.sum("_cnt").over(Window.partitionBy(*group)).alias("_n"),
+        F.sum("_valid").over(Window.partitionBy(*group)).alias("_n"),
     )
     # Without groups the offsets table has one row per partition (a proven
     # bound) and is broadcast; with groups its size grows with the number of
     # groups, so the join strategy is left to the size-checked planner/AQE.
-    side = F.broadcast(offsets) if not group else offsets
+    side = F.broadcast(offsets) if bounded_groups or not group else offsets
     ranked = tagged.join(side, ["_pid", *group], "inner")
     ranked = ranked.withColumn(rank_col, F.col("_before") + (F.col("_mid") - F.col("_first")) + 1)
     if count_col and count_col != "_n":

@@ -49,6 +49,14 @@ def cohort_retention(counts: DataFrame) -> DataFrame:
     ).orderBy("cohort", "period")
 
 
+def cohort_cells(counts: DataFrame) -> DataFrame:
+    """Every (cohort, period) cell up to the last period, null where nobody bought; no job while it is planned."""
+    last = counts.select(F.max("period")).scalar()
+    by_period = counts.groupBy("cohort").agg(F.map_from_entries(F.collect_list(F.struct("period", "customers"))).alias("_cells"))
+    grid = by_period.withColumn("_last", last).select("cohort", "_cells", F.explode(F.sequence(F.lit(0), "_last")).alias("period"))
+    return grid.select("cohort", "period", F.try_element_at("_cells", F.col("period")).cast("double").alias("customers"))
+
+
 def cohort_matrix(counts: DataFrame, values: list[int] | None = None) -> DataFrame:
     """Wide cohort x period matrix of distinct persons (missing cells null).
 

@@ -215,7 +215,13 @@ def rfm_scored(base: DataFrame, num_partitions: int | None = None) -> DataFrame:
         ).alias("_s"),
     ).select(CUST, *metrics, "_s._metric", "_s._v")
     ranked, offsets = rank_with_offsets(
-        stacked, ["_v", CUST], group=["_metric"], rank_col="_rank", count_col="_n", num_partitions=num_partitions
+        stacked,
+        ["_v", CUST],
+        group=["_metric"],
+        rank_col="_rank",
+        count_col="_n",
+        num_partitions=num_partitions,
+        bounded_groups=True,  # three metrics
     )
     probs = [i / 5 for i in range(6)]
     edges = quantiles_from_ranked(
@@ -224,6 +230,7 @@ def rfm_scored(base: DataFrame, num_partitions: int | None = None) -> DataFrame:
         "_v",
         probs,
         group=["_metric"],
+        bounded_groups=True,
     )
     both = edges.agg(
         F.max(F.when(F.col("_metric") == "recency", F.col("_edges"))).alias("r"),

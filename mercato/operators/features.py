@@ -129,11 +129,11 @@ def split_balance(df: DataFrame, label: str) -> DataFrame:
 
 
 def class_weights(train: DataFrame, label: str) -> DataFrame:
-    """``n / (k * n_c)`` per class (balanced weights); k = number of classes."""
+    """``n / (k * n_c)`` per class (balanced weights, not rounded); k = number of classes."""
     counts = train.groupBy(label).agg(F.count(F.lit(1)).alias("rows"))
     n = F.sum("rows").over(_all())
     k = F.count(F.lit(1)).over(_all())
-    return counts.select(label, "rows", F.round(n / (k * F.col("rows")), 6).alias("weight")).orderBy(label)
+    return counts.select(label, "rows", (n / (k * F.col("rows"))).alias("weight")).orderBy(label)
 
 
 def with_class_weights(train: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:

@@ -22,19 +22,38 @@ def _compatible(expected: T.DataType, actual: T.DataType) -> bool:
 
 
 def schema_report(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table, column, expected_type, actual_type, present, type_ok) for every declared column."""
-    rows = []
-    for name, schema in CANONICAL_SCHEMAS.items():
-        actual = {f.name: f.dataType for f in tables[name].schema.fields} if name in tables else {}
-        for f in schema.fields:
-            a = actual.get(f.name)
-            rows.append(
-                (name, f.name, f.dataType.simpleString(), a.simpleString() if a else None, a is not None,
-                 a is not None and _compatible(f.dataType, a))
+    """Per declared column of the given tables: expected and actual type, presence, rows and rows that do not fit.
+
+    ``tables`` are the files as they are (CSV headers with string columns, or typed
+    tables), before any projection, so a missing or mistyped column shows.
+    ``misfits`` counts values that the declared type cannot hold; a column is
+    ``type_ok`` when it is present and every value fits.  One scan per table.
+    """
+    out = None
+    for name, df in tables.items():
+        actual = {f.name: f.dataType for f in df.schema.fields}
+        fields = CANONICAL_SCHEMAS[name].fields
+        misfit = {
+            f.name: F.lit(False) if _compatible(f.dataType, actual[f.name]) else F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+            for f in fields
+            if f.name in actual
+        }
+        agg = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(m).alias(c) for c, m in misfit.items()])
+        cells = [
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.lit(f.dataType.simpleString()).alias("expected_type"),
+                F.lit(actual[f.name].simpleString() if f.name in actual else None).cast("string").alias("actual_type"),
+                F.lit(f.name in actual).alias("present"),
+                (F.col(f.name) if f.name in actual else F.lit(None).cast("bigint")).alias("misfits"),
             )
-    any_df = next(iter(tables.values()))
-    schema = "table_name string, column_name string, expected_type string, actual_type string, present boolean, type_ok boolean"
-    return any_df.sparkSession.createDataFrame(rows, schema)
+            for f in fields
+        ]
+        long = agg.select(F.lit(name).alias("table_name"), F.col("_rows").alias("rows"), F.explode(F.array(*cells)).alias("_c")).select(
+            "table_name", "rows", "_c.*", (F.col("_c.present") & (F.coalesce("_c.misfits", F.lit(0)) == 0)).alias("type_ok")
+        )
+        out = long if out is None else out.unionByName(long)
+    return out
 
 
 def null_report(tables: dict[str, DataFrame]) -> DataFrame:

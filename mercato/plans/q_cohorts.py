@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from mercato.operators import cohort as co
-from mercato.operators.fact import sales_fact
+from mercato.operators.fact import sales_by_order
 from mercato.plans.catalog import R, register, tables
 
 _COHORT = f"""WITH
@@ -26,8 +26,8 @@ cr AS (
 
 
 def _assign(spark, d):
-    # Cohorts read distinct (person, month) pairs: the reviews fan-out cannot change them.
-    return co.cohort_assignment(sales_fact(tables(spark, d), with_reviews=False))
+    # Cohorts read distinct (person, month) pairs: one row per order is enough, reviews cannot change them.
+    return co.cohort_assignment(sales_by_order(tables(spark, d), with_reviews=False))
 
 
 @register("cohort_assignment", _COHORT + "\nSELECT * FROM cp")
@@ -63,12 +63,11 @@ def q_cohort_retention_corner(spark, d):
     "cohort_matrix",
     _COHORT
     + """
-SELECT * FROM (
-  PIVOT (SELECT cohort, 'p' || CAST(period AS VARCHAR) AS pcol, CAST(customers AS DOUBLE) AS c FROM cc)
-  ON pcol USING first(c) GROUP BY cohort
-)
+, g AS (SELECT c.cohort, CAST(p.period AS INTEGER) AS period
+        FROM (SELECT DISTINCT cohort FROM cc) c, (SELECT unnest(range(0, (SELECT max(period) FROM cc) + 1)) AS period) p)
+SELECT g.cohort, g.period, CAST(cc.customers AS DOUBLE) AS customers FROM g LEFT JOIN cc ON cc.cohort = g.cohort AND cc.period = g.period
 """,
 )
 def q_cohort_matrix(spark, d):
-    """Wide pivot; its columns follow the data's period span (a dynamic pivot in both engines)."""
-    return co.cohort_matrix(co.cohort_counts(_assign(spark, d)))
+    """The cohort x period matrix as dense rows, one per cell (a missing cell is null)."""
+    return co.cohort_cells(co.cohort_counts(_assign(spark, d)))

@@ -145,7 +145,7 @@ def q_split_balance(spark, d):
 )
 def q_class_weights(spark, d):
     x = fe.with_split(fe.delay_model_input(_features(spark, d))).where(F.col("split") == "train")
-    return fe.class_weights(x, "is_late")
+    return fe.class_weights(x, "is_late").withColumn("weight", F.round("weight", 6))
 
 
 @register(

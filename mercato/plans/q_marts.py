@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mercato.operators import marts
-from mercato.operators.fact import sales_fact
+from mercato.operators.fact import sales_by_order, sales_fact
 from mercato.plans.catalog import M, R, register, tables
 from mercato.sources.readers import register_views
 
@@ -156,7 +156,7 @@ def q_sales_fact_order(spark, d):
 
 @register("monthly_revenue", f"SELECT order_month, {M('payment_value')} AS revenue FROM fact_r GROUP BY order_month")
 def q_monthly_revenue(spark, d):
-    return marts.monthly_revenue(sales_fact(tables(spark, d)))
+    return marts.monthly_revenue(sales_by_order(tables(spark, d)))
 
 
 @register(
@@ -164,15 +164,19 @@ def q_monthly_revenue(spark, d):
     f"SELECT order_month, {M('payment_value')} AS revenue FROM fact_r GROUP BY order_month",
 )
 def q_sql_monthly_revenue(spark, d):
-    """The same mart through Spark SQL over catalogued (temp-view) tables."""
+    """The same mart as SQL text: joins and aggregation over the catalogued tables."""
     t = tables(spark, d)
-    register_views({"sales_fact": sales_fact(t)}, suffix="_v")
+    register_views({n: t[n] for n in ("orders", "payments", "reviews", "customers")}, suffix="_v")
     return spark.sql(
         """
-        SELECT order_month, round(CAST(sum(payment_value) AS DOUBLE), 2) AS revenue
-        FROM sales_fact_v
-        GROUP BY order_month
-        ORDER BY order_month
+        SELECT date_format(o.order_purchase_timestamp, 'yyyy-MM') AS order_month,
+               round(CAST(sum(p.payment_value) AS DOUBLE), 2) AS revenue
+        FROM orders_v o
+        JOIN payments_v p ON p.order_id = o.order_id
+        LEFT JOIN reviews_v r ON r.order_id = o.order_id
+        JOIN customers_v c ON c.customer_id = o.customer_id
+        GROUP BY 1
+        ORDER BY 1
         """
     )
 
@@ -188,7 +192,7 @@ def q_sql_monthly_revenue(spark, d):
     """,
 )
 def q_kpi_summary(spark, d):
-    return marts.kpi_summary(sales_fact(tables(spark, d)))
+    return marts.kpi_summary(sales_by_order(tables(spark, d)))
 
 
 @register(
@@ -200,7 +204,7 @@ def q_kpi_summary(spark, d):
     """,
 )
 def q_revenue_by_state(spark, d):
-    return marts.revenue_by_state(sales_fact(tables(spark, d)))
+    return marts.revenue_by_state(sales_by_order(tables(spark, d)))
 
 
 @register(
@@ -214,7 +218,7 @@ def q_revenue_by_state(spark, d):
     """,
 )
 def q_revenue_by_city(spark, d):
-    return marts.revenue_by_city(sales_fact(tables(spark, d)))
+    return marts.revenue_by_city(sales_by_order(tables(spark, d)))
 
 
 @register(
@@ -325,7 +329,7 @@ def q_payment_mix(spark, d):
     """,
 )
 def q_geo_top10(spark, d):
-    return marts.geo_top10(sales_fact(tables(spark, d)))
+    return marts.geo_top10(sales_by_order(tables(spark, d)))
 
 
 @register(
@@ -337,7 +341,7 @@ def q_geo_top10(spark, d):
     """,
 )
 def q_state_share(spark, d):
-    return marts.state_share(sales_fact(tables(spark, d)))
+    return marts.state_share(sales_by_order(tables(spark, d)))
 
 
 @register(
@@ -351,7 +355,7 @@ def q_review_distribution(spark, d):
 @register(
     "delivered_rate",
     f"""
-    SELECT {R("avg(CAST(order_status = 'delivered' AS INTEGER)) * 100")} AS delivered_rate, count(*) AS orders
+    SELECT {R("avg(CAST(coalesce(order_status = 'delivered', false) AS INTEGER)) * 100")} AS delivered_rate, count(*) AS orders
     FROM orders_r
     """,
 )
@@ -363,7 +367,8 @@ def q_delivered_rate(spark, d):
     "executive_summary",
     f"""
     WITH per_customer AS (
-      SELECT customer_unique_id, count(DISTINCT order_id) AS n_orders FROM fact_r GROUP BY 1
+      SELECT customer_unique_id, count(DISTINCT order_id) AS n_orders FROM fact_r
+      WHERE customer_unique_id IS NOT NULL GROUP BY 1
     )
     SELECT (SELECT {M('payment_value')} FROM fact_r) AS total_revenue,
            (SELECT count(DISTINCT order_id) FROM fact_r) AS total_orders,
@@ -372,7 +377,7 @@ def q_delivered_rate(spark, d):
     """,
 )
 def q_executive_summary(spark, d):
-    return marts.executive_summary(sales_fact(tables(spark, d)))
+    return marts.executive_summary(sales_by_order(tables(spark, d)))
 
 
 @register(
@@ -383,7 +388,7 @@ def q_executive_summary(spark, d):
              count(DISTINCT customer_unique_id) AS n_customers
       FROM fact_r
     ), r AS (
-      SELECT avg(CAST(order_status = 'delivered' AS INTEGER)) * 100 AS rate FROM orders_r
+      SELECT avg(CAST(coalesce(order_status = 'delivered', false) AS INTEGER)) * 100 AS rate FROM orders_r
     )
     SELECT format('{:,.2f}', CAST(round(CAST(CAST(rev AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE)) AS revenue_text,
            format('{:,}', n_orders) AS orders_text,
@@ -397,4 +402,4 @@ def q_executive_summary(spark, d):
 )
 def q_kpi_banner(spark, d):
     t = tables(spark, d)
-    return marts.kpi_banner(sales_fact(t), t["orders"])
+    return marts.kpi_banner(sales_by_order(t), t["orders"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from mercato.operators import quality as dq
 from mercato.operators.fact import sales_fact
 from mercato.plans.catalog import R, register, tables
+from mercato.sources.roles import load_role_tables
 from mercato.sources.schemas import CRITICAL_COLUMNS
 
 _VIEW = {
@@ -41,16 +42,17 @@ def _schema_sql() -> str:
             a = spark_type.format(c=f.name)
             parts.append(
                 f"(SELECT '{t}' AS table_name, '{f.name}' AS column_name, '{e}' AS expected_type, "
-                f"{a} AS actual_type, true AS present, "
-                f"({a} = '{e}' OR ('{e}' IN {ids} AND {a} IN {ids})) AS type_ok FROM {_VIEW[t]} LIMIT 1)"
+                f"any_value({a}) AS actual_type, true AS present, count(*) AS rows, "
+                f"count(*) FILTER (WHERE {f.name} IS NOT NULL AND NOT ({a} = '{e}' OR ('{e}' IN {ids} AND {a} IN {ids}))) AS misfits, "
+                f"bool_and({f.name} IS NULL OR {a} = '{e}' OR ('{e}' IN {ids} AND {a} IN {ids})) AS type_ok FROM {_VIEW[t]})"
             )
     return " UNION ALL ".join(parts)
 
 
 @register("dq_schema", _schema_sql())
 def q_dq_schema(spark, d):
-    """Declared vs actual column types of every loaded table (metadata only)."""
-    return dq.schema_report(tables(spark, d))
+    """Declared against actual columns of the tables as they come, with the rows that do not fit."""
+    return dq.schema_report(load_role_tables(spark, d))
 
 
 @register("dq_nulls", _NULL_SQL)

@@ -3,8 +3,8 @@
 Each run composes the operators over one set of canonical tables; outputs
 are DataFrames (lazy) or written folders.  Command line::
 
-    python -m mercato.plans.runs --csv DIR [--prefix P] --out OUT marts|analysis|models|dashboard
-    python -m mercato.plans.runs --testdata DIR --out OUT marts
+    python -m mercato.plans.runs --csv orders=FILE payments=FILE ... --out OUT marts
+    python -m mercato.plans.runs --testdata DIR --out OUT marts|analysis|models|dashboard
 """
 
 from __future__ import annotations
@@ -17,26 +17,27 @@ from mercato.operators import cohort as co
 from mercato.operators import customers as cu
 from mercato.operators import evaluation as ev
 from mercato.operators import features as fe
+from mercato.functions.common import reuse_checkpointed
 from mercato.operators import marts
 from mercato.operators import models as mo
-from mercato.operators.fact import sales_fact
+from mercato.operators.fact import sales_by_order, sales_fact
 from mercato.sources.sinks import MART_FILES, export_marts, write_parquet, write_report
 
 
 def bi_marts(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The ten flat marts of the BI export (distinct-order RFM frequency)."""
-    fact = sales_fact(t)
+    sales = reuse_checkpointed(sales_by_order(t))  # read by six marts
     out = {
-        "kpi_summary": marts.kpi_summary(fact),
-        "monthly_revenue": marts.monthly_revenue(fact),
-        "revenue_by_state": marts.revenue_by_state(fact),
-        "revenue_by_city": marts.revenue_by_city(fact),
-        "payment_methods": marts.payment_methods(fact),
+        "kpi_summary": marts.kpi_summary(sales),
+        "monthly_revenue": marts.monthly_revenue(sales),
+        "revenue_by_state": marts.revenue_by_state(sales),
+        "revenue_by_city": marts.revenue_by_city(sales),
+        "payment_methods": marts.payment_methods(sales_fact(t)),
         "order_status": marts.order_status(t["orders"]),
         "top_categories": marts.top_categories(t["items"], t["products"], t["category_translation"]),
         "top_sellers": marts.top_sellers(t["items"], t["sellers"], t["reviews"]),
         "delivery_performance": marts.delivery_performance(t["orders"]),
-        "rfm_segments": cu.rfm_segments(cu.rfm_scored(cu.rfm_base(fact))),
+        "rfm_segments": cu.rfm_segments(cu.rfm_scored(cu.rfm_base(sales))),
     }
     assert list(out) == MART_FILES
     return out
@@ -45,19 +46,20 @@ def bi_marts(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def analysis_tables(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The analysis run: trend, value segments, payments, geography, satisfaction, cohorts, RFM."""
     fact = sales_fact(t)
+    sales = reuse_checkpointed(sales_by_order(t))
     segments = cu.customer_value_segments(fact)
-    counts = co.cohort_counts(co.cohort_assignment(sales_fact(t, with_reviews=False)))
+    counts = co.cohort_counts(co.cohort_assignment(sales))
     retention = co.cohort_retention(counts)
     scored = cu.rfm_scored(cu.rfm_base(fact, frequency="rows"))
     return {
-        "monthly_revenue": marts.monthly_revenue(fact),
+        "monthly_revenue": marts.monthly_revenue(sales),
         "customer_value_segments": segments,
         "value_segment_describe": cu.value_segment_describe(segments),
         "value_segment_counts": cu.value_segment_counts(segments),
         "spend_histogram": cu.spend_histogram(fact),
         "customer_value_median": cu.customer_value_median(fact),
         "payment_mix": marts.payment_mix(fact),
-        "geo_top10": marts.geo_top10(fact),
+        "geo_top10": marts.geo_top10(sales),
         "repeat_customers": cu.repeat_customers(fact),
         "satisfaction_correlation": cu.satisfaction_correlation(fact),
         "cohort_retention": retention,
@@ -65,19 +67,20 @@ def analysis_tables(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "cohort_retention_corner": co.cohort_retention_corner(retention),
         "rfm_segments": cu.rfm_segments(scored),
         "rfm_spend_by_segment": cu.rfm_spend_by_segment(scored),
-        "executive_summary": marts.executive_summary(fact),
+        "executive_summary": marts.executive_summary(sales),
     }
 
 
 def dashboard_tables(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """KPI tiles, banner and the chart tables of the one-page dashboard."""
     fact = sales_fact(t)
+    sales = reuse_checkpointed(sales_by_order(t))
     return {
-        "kpi_summary": marts.kpi_summary(fact),
-        "kpi_banner": marts.kpi_banner(fact, t["orders"]),
+        "kpi_summary": marts.kpi_summary(sales),
+        "kpi_banner": marts.kpi_banner(sales, t["orders"]),
         "delivered_rate": marts.delivered_rate(t["orders"]),
-        "monthly_revenue": marts.monthly_revenue(fact),
-        "top_states": marts.geo_top10(fact),
+        "monthly_revenue": marts.monthly_revenue(sales),
+        "top_states": marts.geo_top10(sales),
         "payment_mix": marts.payment_mix(fact),
         "order_status": marts.order_status(t["orders"]),
         "review_distribution": marts.review_distribution(fact),
@@ -135,7 +138,8 @@ def _tables(spark: SparkSession, args) -> dict[str, DataFrame]:
         from mercato.sources.landing import land_tables
         from mercato.sources.readers import load_csv_tables
 
-        return land_tables(spark, args.csv, lambda: load_csv_tables(spark, args.csv, prefix=args.prefix))
+        files = dict(x.split("=", 1) for x in args.csv)
+        return land_tables(spark, repr(sorted(files.items())), lambda: load_csv_tables(spark, files))
     from mercato.plans.catalog import tables
 
     return tables(spark, args.testdata)
@@ -144,9 +148,8 @@ def _tables(spark: SparkSession, args) -> dict[str, DataFrame]:
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     src = ap.add_mutually_exclusive_group(required=True)
-    src.add_argument("--csv", help="folder of a marketplace CSV export")
+    src.add_argument("--csv", nargs="+", metavar="TABLE=FILE", help="CSV file of each canonical table")
     src.add_argument("--testdata", help="folder of the TPC-H-like test tables")
-    ap.add_argument("--prefix", default="", help="file-name prefix of the CSV export")
     ap.add_argument("--out", required=True)
     ap.add_argument("run", choices=["marts", "analysis", "models", "dashboard"])
     args = ap.parse_args(argv)

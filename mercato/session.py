@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every mercato job relies on.  Timestamps are TIMESTAMP_NTZ and all
@@ -52,9 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Point reliable checkpoints at the cluster's shared folder.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; it is
-    used as is.  Only a local-mode session (tests, laptops) without that
-    setting gets a private temporary folder; a cluster session without it
-    is refused rather than writing checkpoints to an executor-local disk.
+    used as is.  Without that setting the session's warehouse, which a cluster
+    shares as well, gets a folder for them; no folder of a single machine is used.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,11 +59,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; configure a shared folder "
-                "(HDFS/S3/ABFS) for checkpoints on a cluster"
-            )
-        configured = tempfile.mkdtemp(prefix="mercato-ckpt-")
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/mercato-checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

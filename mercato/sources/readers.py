@@ -7,60 +7,37 @@ from pyspark.sql import functions as F
 
 from mercato.sources.schemas import CANONICAL_SCHEMAS
 
-# File-name stems of the marketplace CSV export layout.  The
-# export names files ``<prefix><stem>_dataset.csv``; the prefix is the
-# publisher's and is passed by the caller.  The translation file has no prefix.
-CSV_STEMS = {
-    "orders": "orders",
-    "payments": "order_payments",
-    "customers": "customers",
-    "reviews": "order_reviews",
-    "items": "order_items",
-    "products": "products",
-    "sellers": "sellers",
-}
-TRANSLATION_FILE = "product_category_name_translation.csv"
+# Tables whose quoted texts may hold line breaks; only their files cannot be split.
+MULTI_LINE = {"reviews"}
 
 
-def csv_file_name(name: str, prefix: str = "") -> str:
-    if name == "category_translation":
-        return TRANSLATION_FILE
-    return f"{prefix}{CSV_STEMS[name]}_dataset.csv"
+def csv_header(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """The file as it is: every column of its header, as strings."""
+    reader = spark.read.option("header", True).option("escape", '"').option("enforceSchema", False).option("mode", "FAILFAST")
+    return reader.option("multiLine", name in MULTI_LINE).csv(path)
 
 
 def read_csv_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Scan one CSV export with its declared schema (no inference).
 
-    Quoted fields may contain commas and newlines (review texts do), so the
-    reader runs in multi-line mode with RFC-4180 escaping.  Extra columns in
-    the file that the schema does not name are not read.
+    Quoted fields may contain commas (RFC-4180 escaping) and, in the tables of
+    ``MULTI_LINE``, line breaks.  Columns that the schema does not name are not
+    read; a declared column that the header lacks is an error.
     """
+    raw = csv_header(spark, path, name)
     schema = CANONICAL_SCHEMAS[name]
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
-    # Header-driven projection: the export carries more columns than we need.
-    cols = []
-    for f in schema.fields:
-        if f.name in raw.columns:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return raw.select(*cols)
-
-
-def load_csv_tables(
-    spark: SparkSession, directory: str, prefix: str = "", names=None
-) -> dict[str, DataFrame]:
-    """Load a marketplace CSV export directory into canonical DataFrames."""
-    names = names or [*CSV_STEMS, "category_translation"]
-    return {n: read_csv_table(spark, f"{directory}/{csv_file_name(n, prefix)}", n) for n in names}
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path}: table {name!r} lacks the columns {missing}")
+    return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def load_csv_tables(spark: SparkSession, files: dict[str, str]) -> dict[str, DataFrame]:
+    """Load the CSV files the caller names (``table -> path``) into canonical DataFrames."""
+    unknown = set(files) - set(CANONICAL_SCHEMAS)
+    if unknown:
+        raise ValueError(f"unknown tables {sorted(unknown)}")
+    return {name: read_csv_table(spark, path, name) for name, path in files.items()}
 
 
 def load_parquet_tables(spark: SparkSession, directory: str, names) -> dict[str, DataFrame]:

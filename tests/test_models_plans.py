@@ -99,8 +99,14 @@ def test_scan_prunes_columns_and_pushes_filters(spark, queries):
 
 
 def test_cohort_matrix_matches_pandas_pivot(spark, queries):
-    got = queries["cohort_matrix"](spark, SF_SMALL).toPandas().set_index("cohort")
+    from mercato.operators.cohort import cohort_matrix
+
+    counts = queries["cohort_counts"](spark, SF_SMALL)
+    got = cohort_matrix(counts).toPandas().set_index("cohort")
+    cells = queries["cohort_matrix"](spark, SF_SMALL).toPandas()
     long = queries["cohort_counts"](spark, SF_SMALL).toPandas()
     want = long.pivot(index="cohort", columns="period", values="customers")
+    dense = want.reindex(columns=range(int(long["period"].max()) + 1))
+    pd.testing.assert_frame_equal(cells.pivot(index="cohort", columns="period", values="customers").astype(float), dense.astype(float), check_names=False)
     want.columns = [f"p{c}" for c in want.columns]
     pd.testing.assert_frame_equal(got.astype(float), want.astype(float), check_names=False)

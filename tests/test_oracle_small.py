@@ -23,6 +23,15 @@ NAMES = [
     "rfm_scored",
     "rfm_segments_rows",
     "cohort_retention",
+    "cohort_matrix",
+    "revenue_by_state",
+    "executive_summary",
+    "kpi_banner",
+    "delivered_rate",
+    "sql_monthly_revenue",
+    "stream_monthly_revenue",
+    "dq_schema",
+    "class_weights",
     "cohort_retention_corner",
     "order_features",
     "roc_curve",

@@ -8,7 +8,7 @@ import io
 from pyspark.sql import functions as F
 
 from mercato.operators import marts
-from mercato.operators.fact import sales_fact
+from mercato.operators.fact import sales_by_order
 
 
 def _final_plan(df) -> str:
@@ -56,8 +56,8 @@ def test_hot_customer_join_is_split(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        fact = sales_fact(dict(orders=orders, payments=payments, customers=customers, reviews=reviews))
-        out = marts.revenue_by_state(fact)
+        sales = sales_by_order(dict(orders=orders, payments=payments, customers=customers, reviews=reviews))
+        out = marts.revenue_by_state(sales)
         rows = out.collect()
         assert sum(r.orders for r in rows) == n  # whole result, nothing dropped
         plan = _final_plan(out)
