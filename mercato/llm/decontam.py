@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.text import WordHashes, row_slices, shingle_hashes, words_of
+from mercato.llm.text import WordHashes, shingle_hashes, text_words, words_of
 
 SHINGLE = 5
 SIMILARITY = 0.75
@@ -116,17 +116,16 @@ class BenchmarkIndex:
                     out[int(k)] = pos[own == k]
         return out
 
-    def matches(self, words: list[bytes], memo: WordHashes):
-        """(item_id, first word, words, similarity, distance) of the best window of each matching item."""
-        if not words:
+    def matches(self, h: np.ndarray):
+        """(item_id, first word, words, similarity, distance) of the best window of each matching item, from word hashes."""
+        if not len(h):
             return
-        h = memo.of(words)
         full = shingle_hashes(h, SHINGLE)
         for k, pos in self.hits(full).items():
             c = self.classes[k]
-            if c.n_words >= SHINGLE or len(words) < SHINGLE:
+            if c.n_words >= SHINGLE or len(h) < SHINGLE:
                 yield from self.windows(c, full, pos, max(1, c.n_words - SHINGLE + 1))
-        for n in self.short if len(words) >= SHINGLE else ():
+        for n in self.short if len(h) >= SHINGLE else ():
             # Items shorter than a shingle: windows of so many words are one shingle each.
             s = short_windows(h, n)
             for k, pos in self.hits(s).items():
@@ -191,11 +190,9 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK
         handle = spark.sparkContext.broadcast(block)
 
         def run(batches, handle=handle):
-            index, memo = BenchmarkIndex(handle.value), WordHashes()
-            for b in row_slices(batches):
-                found = [
-                    (doc_id, *m) for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for m in index.matches(words_of(text), memo)
-                ]
+            index = BenchmarkIndex(handle.value)
+            for b, texts in text_words(batches, WordHashes()):
+                found = [(doc_id, *m) for doc_id, h in zip(b.column(0).to_pylist(), texts) for m in index.matches(h)]
                 if found:
                     types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32())
                     names = ["doc_id", "item_id", "start_word", "n_words", "similarity", "distance"]

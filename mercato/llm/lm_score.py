@@ -32,11 +32,10 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.text import MEMO_WORDS, mix64, row_slices, words_of
+from mercato.llm.text import WordHashes, mix64, row_slices
 
 ALPHA = 0.4
 MIN_COUNT = 2
@@ -49,37 +48,46 @@ TAIL = np.uint64(1 << 63)
 NO_WORD = np.uint64(TOP_WORDS)  # context of a first word
 
 
-class WordCodes(dict):
-    """``bytes -> code``: the rank of a top word, else its hash with the highest bit set."""
+class WordCodes:
+    """Codes of words: the rank of a top word, else its hash with the highest bit set."""
 
     def __init__(self, top: list[int]):
-        super().__init__()
-        self.top = {h: i for i, h in enumerate(top)}
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        h = xxhash.xxh3_64_intdigest(word) | 1 << 63
-        code = self.top.get(h, h)
-        self[word] = code
-        return code
+        self.hasher = WordHashes()
+        top = np.array(top, dtype=np.uint64)
+        order = np.argsort(top)
+        self.sorted, self.rank = top[order], order.astype(np.uint64)
+        self.slots = np.zeros(1 << 20, dtype=bool)  # by hash bits; spares most tail words the search
+        self.slots[self._slot(top)] = True
+
+    @staticmethod
+    def _slot(h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(40) & np.uint64((1 << 20) - 1)).astype(np.int64)
+
+    def of_column(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        h, counts = self.hasher.of_column(col)
+        h |= TAIL
+        maybe = np.flatnonzero(self.slots[self._slot(h)])
+        if len(maybe):
+            at = np.minimum(np.searchsorted(self.sorted, h[maybe]), len(self.sorted) - 1)
+            found = self.sorted[at] == h[maybe]
+            h[maybe[found]] = self.rank[at[found]]
+        return h, counts
 
 
 def blocks(batches, codes: WordCodes, at_most: int = BLOCK_WORDS):
-    """(doc ids, words of each, all word codes) of some documents at a time; long texts make a block of their own."""
+    """(doc ids, words of each, all word codes) of some documents at a time, about ``at_most`` words."""
     ids, sizes, parts, n = [], [], [], 0
-    for b in row_slices(batches):
-        for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            words = words_of(text)
-            ids.append(NULL_ID if doc_id is None else doc_id)
-            sizes.append(len(words))
-            parts.append(np.fromiter(map(codes.__getitem__, words), dtype=np.uint64, count=len(words)))
-            n += len(words)
-            if n >= at_most:
-                yield np.array(ids, np.int64), np.array(sizes, np.int64), np.concatenate(parts)
-                ids, sizes, parts, n = [], [], [], 0
+    for b in row_slices(batches, 128):
+        codes_of, counts = codes.of_column(b.column(1))
+        ids.append(b.column(0).fill_null(NULL_ID).to_numpy(zero_copy_only=False))
+        sizes.append(counts)
+        parts.append(codes_of)
+        n += len(codes_of)
+        if n >= at_most:
+            yield np.concatenate(ids), np.concatenate(sizes), np.concatenate(parts)
+            ids, sizes, parts, n = [], [], [], 0
     if ids:
-        yield np.array(ids, np.int64), np.array(sizes, np.int64), np.concatenate(parts)
+        yield np.concatenate(ids), np.concatenate(sizes), np.concatenate(parts)
 
 
 def frequent_words(rows: DataFrame, at_most: int = TOP_WORDS) -> list[int]:

@@ -57,12 +57,14 @@ def source_targets(source_sizes: DataFrame, weights=WEIGHTS, max_repeats: int =
         "level",
         (F.sum("source_size").over(everything) - F.coalesce(F.sum(cap).over(before), F.lit(0.0))) / F.sum("weight").over(onward),
     )
-    s = s.withColumn("level", F.min(F.when(F.col("cap_rate") >= F.col("level"), F.struct("cap_rate", "source", "level"))).over(everything)["level"])
+    # The first source in that order that is not cut has the level of all the others after it.
+    first = F.struct("cap_rate", F.col("source").isNull(), "source", "level")
+    s = s.withColumn("level", F.min(F.when(F.col("cap_rate") >= F.col("level"), first)).over(everything)["level"])
     return s.select("source_key", "source_size", F.least(cap, F.col("level") * F.col("weight")).alias("target"))
 
 
 def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, dp_words: int = DP_WORDS) -> np.ndarray:
-    """How many of ``counts[i]`` documents of ``sizes[i] > 0`` words to take so that the sum is near, not over, ``budget``."""
+    """How many of ``counts[i]`` documents of ``sizes[i] > 0`` words to take for a sum near ``budget``."""
     take = np.zeros(len(sizes), dtype=np.int64)
     total = int((sizes * counts).sum())
     if budget <= 0 or total == 0:
@@ -78,12 +80,12 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, dp_words: int
         k = min(int(counts[i] - take[i]), (rest - dp_words // 2) // int(sizes[i]))
         take[i] += k
         rest -= k * int(sizes[i])
-    # Reachable sums as the bits of one integer; one step per power-of-two batch of equal lengths.
+    # Reachable sums as the bits of one integer, up to twice the rest; one step per power-of-two batch of equal lengths.
     steps: list[tuple[int, int, int]] = []
-    reach, mask = 1, (1 << (rest + 1)) - 1
+    reach, mask = 1, (1 << (2 * rest + 1)) - 1
     for i in order:
         size, left = int(sizes[i]), int(counts[i] - take[i])
-        left, k = min(left, rest // size), 1
+        left, k = min(left, 2 * rest // size), 1
         while left > 0 and not reach >> rest & 1:
             k = min(k, left)
             wider = (reach | reach << (k * size)) & mask
@@ -93,7 +95,10 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, dp_words: int
             left, k = left - k, 2 * k
         if reach >> rest & 1:
             break
-    at = reach.bit_length() - 1
+    below = (reach & ((1 << (rest + 1)) - 1)).bit_length() - 1
+    above = reach >> rest
+    over = (above & -above).bit_length() - 1 if above else rest + 1
+    at = rest + over if over < rest - below else below
     for earlier, i, k in reversed(steps):
         if not earlier >> at & 1:
             take[i] += k
