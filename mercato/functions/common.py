@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mercato.session import ensure_checkpoint_dir
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -72,11 +76,16 @@ def reuse_checkpointed(df: DataFrame) -> DataFrame:
     ``checkpoint()`` would compute the input twice: once to count, once to
     write.)
     """
-    import uuid
+    path = f"{materialized_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    from mercato.session import ensure_checkpoint_dir
 
-    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{root}/mercato-materialized/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def materialized_folder(spark: SparkSession) -> str:
+    return ensure_checkpoint_dir(spark).rstrip("/") + "/mercato-materialized"
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete what this application's ``reuse_checkpointed`` has written; DataFrames built on it end with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(materialized_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

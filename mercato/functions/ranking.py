@@ -95,6 +95,7 @@ def rank_rows(
     rank_col: str = "_rank",
     count_col: str | None = "_n",
     num_partitions: int | None = None,
+    bounded_groups: bool = False,
 ) -> DataFrame:
     """Add a 1-based ``rank_col`` (row number in ``order``) within ``group``.
 
@@ -102,7 +103,7 @@ def rank_rows(
     order; pass a unique key as the last ordering column for rank-first
     semantics.  ``count_col`` (if given) holds the group's row count.
     """
-    ranked, _ = rank_with_offsets(df, order, group, rank_col, count_col, num_partitions)
+    ranked, _ = rank_with_offsets(df, order, group, rank_col, count_col, num_partitions, bounded_groups)
     return ranked
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.common import reuse_checkpointed
+from mercato.functions.ranking import rank_rows
 from mercato.functions.timefx import floor_days, weekday_monday0
 
 # Model feature lists of the reference (fixed values).
@@ -123,9 +124,20 @@ def with_split(df: DataFrame, test_percent: int = TEST_PERCENT, seed: int = SPLI
     return df.withColumn("split", F.when(split_bucket(seed=seed) < test_percent, "test").otherwise("train"))
 
 
+def with_stratified_split(df: DataFrame, label: str, key: str = "order_id", test_percent: int = TEST_PERCENT, seed: int = SPLIT_SEED) -> DataFrame:
+    """Test side: the first ``test_percent`` % (rounded up) of every class by md5 of the key.
+
+    Ranks come from the distributed ranker (the classes are few), so no class is sorted in one task.
+    """
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{seed}")))
+    ranked = rank_rows(df.withColumn("_h", h), ["_h", key], group=[label], bounded_groups=True)
+    test = F.col("_rank") <= F.ceil(F.col("_n") * test_percent / 100)
+    return ranked.withColumn("split", F.when(test, "test").otherwise("train")).drop("_h", "_rank", "_n")
+
+
 def split_balance(df: DataFrame, label: str) -> DataFrame:
     """Rows per (split, label): the class balance of each side."""
-    return with_split(df).groupBy("split", label).agg(F.count(F.lit(1)).alias("rows")).orderBy("split", label)
+    return with_stratified_split(df, label).groupBy("split", label).agg(F.count(F.lit(1)).alias("rows")).orderBy("split", label)
 
 
 def class_weights(train: DataFrame, label: str) -> DataFrame:

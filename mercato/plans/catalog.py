@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 
 from mercato.plans import oracle as _oracle
 from mercato.sources.landing import land_tables
-from mercato.sources.roles import load_role_tables
+from mercato.sources.roles import RAW_TABLES, load_role_tables
+from mercato.sources.schemas import CANONICAL_SCHEMAS
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -59,8 +60,9 @@ def register(name: str, sql: str | None = None):
 
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Canonical tables for ``sf_dir``: role views landed once per session as bucketed Parquet."""
-    return land_tables(spark, sf_dir, lambda: load_role_tables(spark, sf_dir))
+    """Canonical tables for ``sf_dir``: role views landed as bucketed Parquet, each on first use."""
+    paths = [f"{sf_dir}/{t}.parquet" for t in RAW_TABLES]
+    return land_tables(spark, paths, list(CANONICAL_SCHEMAS), lambda: load_role_tables(spark, sf_dir))
 
 
 # Import the modules that register queries (order = presentation order).

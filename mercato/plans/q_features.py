@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from mercato.operators import evaluation as ev
 from mercato.operators import features as fe
+from mercato.operators import models as mo
 from mercato.plans.catalog import R, register, tables
 
 _FEATURES = """
@@ -63,10 +64,15 @@ review_in AS (
   SELECT order_id, {_REVIEW_COLS}, review_score FROM feat
   WHERE {' AND '.join(c + ' IS NOT NULL' for c in fe.REVIEW_FEATURES)} AND review_score IS NOT NULL
 ),
+delay_split AS (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY is_late ORDER BY md5(CAST(order_id AS VARCHAR) || '#42'), order_id)
+                      <= ceil(count(*) OVER (PARTITION BY is_late) * 20 / 100.0) THEN 'test' ELSE 'train' END AS split
+  FROM delay_in
+),
 delay_test AS (
   SELECT *, CAST(purchase_month IN (2, 3, 11) AS INTEGER) AS prediction,
          CAST(purchase_month IN (2, 3, 11) AS DOUBLE) + estimated_delivery_days / 1000.0 AS score
-  FROM delay_in WHERE {_SPLIT} = 'test'
+  FROM delay_split WHERE split = 'test'
 ),
 review_test AS (
   SELECT *, CASE WHEN is_late = 1 THEN 2.5 ELSE 4.0 END AS prediction FROM review_in WHERE {_SPLIT} = 'test'
@@ -82,7 +88,7 @@ def _features(spark, d):
 
 
 def delay_test_scored(spark, d):
-    x = fe.with_split(fe.delay_model_input(_features(spark, d))).where(F.col("split") == "test")
+    x = fe.with_stratified_split(fe.delay_model_input(_features(spark, d)), "is_late").where(F.col("split") == "test")
     peak = F.col("purchase_month").isin(2, 3, 11)
     return x.withColumn("prediction", peak.cast("int")).withColumn(
         "score", peak.cast("double") + F.col("estimated_delivery_days") / 1000.0
@@ -126,7 +132,7 @@ def q_review_model_input(spark, d):
 
 @register(
     "train_test_split_balance",
-    W(f"SELECT {_SPLIT} AS split, is_late, count(*) AS rows FROM delay_in GROUP BY 1, 2"),
+    W("SELECT split, is_late, count(*) AS rows FROM delay_split GROUP BY 1, 2"),
 )
 def q_split_balance(spark, d):
     return fe.split_balance(fe.delay_model_input(_features(spark, d)), "is_late")
@@ -136,7 +142,7 @@ def q_split_balance(spark, d):
     "class_weights",
     W(
         f"""
-        , c AS (SELECT is_late, count(*) AS rows FROM delay_in WHERE {_SPLIT} = 'train' GROUP BY is_late)
+        , c AS (SELECT is_late, count(*) AS rows FROM delay_split WHERE split = 'train' GROUP BY is_late)
         SELECT is_late, rows,
                {R('CAST(sum(rows) OVER () AS DOUBLE) / CAST(count(*) OVER () * rows AS DOUBLE)', 6)} AS weight
         FROM c
@@ -144,7 +150,7 @@ def q_split_balance(spark, d):
     ),
 )
 def q_class_weights(spark, d):
-    x = fe.with_split(fe.delay_model_input(_features(spark, d))).where(F.col("split") == "train")
+    x = fe.with_stratified_split(fe.delay_model_input(_features(spark, d)), "is_late").where(F.col("split") == "train")
     return fe.class_weights(x, "is_late").withColumn("weight", F.round("weight", 6))
 
 
@@ -287,7 +293,7 @@ def _fixed_cluster():
 
 
 @register(
-    "silhouette_sample",
+    "silhouette",
     W(
         _RFM_F
         + f"""
@@ -311,11 +317,58 @@ def _fixed_cluster():
                       WHEN a0 * n / (n - 1) > b THEN b / (a0 * n / (n - 1)) - 1 ELSE 0.0 END AS s
           FROM per
         )
-        SELECT {R('avg(s)', 6)} AS silhouette, count(*) AS points FROM s
+        SELECT {R('avg(s)', 6)} AS silhouette_sq_euclidean, count(*) AS points FROM s
         """
     ),
 )
-def q_silhouette_sample(spark, d):
+def q_silhouette(spark, d):
     z = rfm_scaled_frame(spark, d).withColumn("cluster", _fixed_cluster())
     s = ev.silhouette_sq_euclidean(z, ["recency_z", "frequency_z", "monetary_z"], "cluster")
-    return s.select(F.round("silhouette", 6).alias("silhouette"), "points")
+    return s.select(F.round("silhouette", 6).alias("silhouette_sq_euclidean"), "points")
+
+
+_SEGMENTS = """
+, lab AS (SELECT *, CAST(recency > 180 AS INTEGER) * 2 + CAST(frequency > 7 AS INTEGER) AS cluster FROM z),
+nm AS (
+  SELECT cluster, (['Champions', 'Loyal', 'At Risk', 'Lost'])[row_number() OVER (ORDER BY avg(monetary) DESC, cluster)] AS segment
+  FROM lab GROUP BY cluster
+), seg AS (SELECT lab.*, nm.segment FROM lab JOIN nm ON nm.cluster = lab.cluster)
+"""
+
+
+def _fixed_segments(spark, d):
+    """Named segments of fixed cluster labels, so that naming, profile and sizes have an exact oracle."""
+    return mo.name_segments(rfm_scaled_frame(spark, d).withColumn("cluster", _fixed_cluster()))
+
+
+@register("segment_names", W(_RFM_F + _SEGMENTS + f"SELECT customer_unique_id, {R('monetary')} AS monetary, cluster, segment FROM seg"))
+def q_segment_names(spark, d):
+    s = _fixed_segments(spark, d)
+    return s.select("customer_unique_id", F.round("monetary", 2).alias("monetary"), "cluster", "segment")
+
+
+@register(
+    "segment_profile",
+    W(
+        _RFM_F
+        + _SEGMENTS
+        + f"""
+        SELECT cluster, segment, {R('avg(recency)')} AS recency, {R('avg(frequency)')} AS frequency, {R('avg(monetary)')} AS monetary,
+               count(*) AS count
+        FROM seg GROUP BY cluster, segment
+        """
+    ),
+)
+def q_segment_profile(spark, d):
+    return mo.cluster_profile(_fixed_segments(spark, d))
+
+
+@register("segment_sizes", W(_RFM_F + _SEGMENTS + "SELECT segment, count(*) AS customers FROM seg GROUP BY segment"))
+def q_segment_sizes(spark, d):
+    return mo.segment_sizes(_fixed_segments(spark, d))
+
+
+@register("segment_filter", W(_RFM_F + _SEGMENTS + "SELECT customer_unique_id, recency, frequency FROM seg WHERE segment = 'Champions'"))
+def q_segment_filter(spark, d):
+    """One segment's persons (the scatter chart's filter by cluster)."""
+    return _fixed_segments(spark, d).where(F.col("segment") == mo.CLUSTER_NAMES_BY_SPEND[0]).select("customer_unique_id", "recency", "frequency")

@@ -17,10 +17,11 @@ from mercato.operators import cohort as co
 from mercato.operators import customers as cu
 from mercato.operators import evaluation as ev
 from mercato.operators import features as fe
-from mercato.functions.common import reuse_checkpointed
+from mercato.functions.common import drop_materialized, reuse_checkpointed
 from mercato.operators import marts
 from mercato.operators import models as mo
 from mercato.operators.fact import sales_by_order, sales_fact
+from mercato.operators.report import model_report
 from mercato.sources.sinks import MART_FILES, export_marts, write_parquet, write_report
 
 
@@ -92,7 +93,7 @@ def model_run(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     from pyspark.sql import functions as F
 
     feats = fe.order_features(t)
-    delay = mo.materialize(fe.with_split(fe.delay_model_input(feats)), "order_id")
+    delay = mo.materialize(fe.with_stratified_split(fe.delay_model_input(feats), "is_late"), "order_id")
     review = mo.materialize(fe.with_split(fe.review_model_input(feats)), "order_id")
     delay_fit = mo.fit_delay_model(delay.where(F.col("split") == "train"), fe.DELAY_FEATURES)
     review_fit = mo.fit_review_model(review.where(F.col("split") == "train"), fe.REVIEW_FEATURES)
@@ -102,44 +103,27 @@ def model_run(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     scaled = mo.materialize(fe.standardize(rfm, rfm, mo.RFM_COLUMNS), "customer_unique_id")
     segs = mo.assign_segments(mo.fit_kmeans(scaled), scaled)
     spark = feats.sparkSession
-    metrics = _long(ev.classification_metrics(dp, "is_late", "prediction"), "delivery_delay_forest",
-                    ["accuracy", "precision", "recall"])
-    metrics = metrics.unionByName(_long(ev.roc_auc(dp, "is_late", "score"), "delivery_delay_forest", ["roc_auc"]))
-    metrics = metrics.unionByName(
-        _long(ev.regression_metrics(rp, "review_score", "prediction"), "review_score_forest", ["r2", "rmse", "mae"])
-    )
-    sil = ev.silhouette_sq_euclidean(segs, [c + "_z" for c in mo.RFM_COLUMNS], "cluster")
-    metrics = metrics.unionByName(_long(sil, "rfm_kmeans", ["silhouette"]))
+    importances = delay_fit.importances(spark), review_fit.forest.importances(spark)
     return {
-        "model_metrics": metrics,
+        "model_metrics": model_report(dp, rp, segs, *importances),
         "delay_predictions": dp,
         "delay_confusion_matrix": ev.confusion_matrix(dp, "is_late", "prediction"),
         "delay_roc_curve": ev.roc_curve(dp, "is_late", "score"),
-        "delay_feature_importance": delay_fit.importances(spark),
+        "delay_feature_importance": importances[0],
         "review_predictions": rp,
-        "review_feature_importance": review_fit.forest.importances(spark),
+        "review_feature_importance": importances[1],
         "customer_segments": segs.drop(*[c + "_z" for c in mo.RFM_COLUMNS]),
         "cluster_profile": mo.cluster_profile(segs),
     }
 
 
-def _long(df: DataFrame, model: str, cols: list[str]) -> DataFrame:
-    from pyspark.sql import functions as F
-
-    return df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in cols])
-        ).alias("_m")
-    ).select(F.lit(model).alias("model"), "_m.metric", "_m.value")
-
-
 def _tables(spark: SparkSession, args) -> dict[str, DataFrame]:
     if args.csv:
         from mercato.sources.landing import land_tables
         from mercato.sources.readers import load_csv_tables
 
         files = dict(x.split("=", 1) for x in args.csv)
-        return land_tables(spark, repr(sorted(files.items())), lambda: load_csv_tables(spark, files))
+        return land_tables(spark, sorted(files.values()), list(files), lambda: load_csv_tables(spark, files))
     from mercato.plans.catalog import tables
 
     return tables(spark, args.testdata)
@@ -160,12 +144,14 @@ def main(argv=None) -> None:
     t = _tables(spark, args)
     if args.run == "marts":
         export_marts(bi_marts(t), args.out)
+        drop_materialized(spark)
         return
     frames = {"analysis": analysis_tables, "models": model_run, "dashboard": dashboard_tables}[args.run](t)
     for name, df in frames.items():
         write_parquet(df, f"{args.out.rstrip('/')}/{name}")
     if args.run == "models":
-        write_report(frames["model_metrics"], f"{args.out.rstrip('/')}/model_report")
+        write_report(frames["model_metrics"], f"{args.out.rstrip('/')}/model_report.txt")
+    drop_materialized(spark)
 
 
 if __name__ == "__main__":

@@ -46,6 +46,12 @@ def get_session(
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder: ``spark.checkpoint.dir``, or a folder of the warehouse where that is unset."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    return (configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/mercato-checkpoints").rstrip("/")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Point reliable checkpoints at the cluster's shared folder.
 
@@ -57,8 +63,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/mercato-checkpoints"
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    sc.setCheckpointDir(shared_folder(spark))
+    return sc.getCheckpointDir()

@@ -1,22 +1,22 @@
-"""Landing: write the canonical tables once as typed, bucketed Parquet tables.
-
-Raw inputs (CSV exports, or the role views over the test tables) are typed
-and converted once; every later query scans the landed Parquet, so the
-conversions (double -> DECIMAL, interval arithmetic) are not repeated and
-scans are split across many files.
-
-The order-grain tables (orders, payments, reviews, items) are bucketed by
-``order_id`` with the same bucket count and sorted within buckets.  Spark then joins orders, payments, reviews
-and items on ``order_id`` without shuffling either side (bucketed scans
-already satisfy the join's distribution), which is the join pattern of the
-sales fact and of the feature table.  The bucket count is
-``mercato.landing.buckets`` (default: ``spark.sql.shuffle.partitions``);
-size it so one bucket of the largest table fits a task (e.g. thousands on a
-large cluster).
-
-Landed tables live under the session's checkpoint folder (the cluster's
-shared folder) and are registered in the session catalog; a session lands
-a given input folder once.
+"""Landing: write canonical tables as typed, bucketed Parquet tables, each on first use.
+
+A query that reads one table lands one table.  The order-grain tables (orders,
+payments, reviews, items) are bucketed by ``order_id`` with the same bucket
+count, so Spark joins them on ``order_id`` without shuffling either side (the
+bucketed scans already satisfy the join's distribution; the merge join still
+sorts), which is the join pattern of the sales fact and of the feature table.
+
+Landed tables live under ``mercato.landing.dir`` (default: a folder beside the
+checkpoints in ``spark.checkpoint.dir``, else in the warehouse) in a folder named
+by a tag of the source files (their paths, sizes and modification times) and of
+the table's definition.  Another session that reads the same files finds the
+tables there; changed or added files, or another definition, make another tag.
+A ``_SUCCESS`` mark tells a whole table from the rest of a failed write, which is
+written again.
+
+The bucket count is ``mercato.landing.buckets``, or follows the size of the
+source files (``BUCKET_BYTES`` to a bucket, ``spark.sql.shuffle.partitions`` at
+least): 100 TB of such files make about 100,000 buckets.  It is part of the tag.
 """
 
 from __future__ import annotations
@@ -24,12 +24,12 @@ from __future__ import annotations
 import hashlib
 import re
 import threading
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from mercato.session import ensure_checkpoint_dir
+from mercato.session import shared_folder
 
 # Order-grain tables share one bucketing on order_id.  Dimension tables are
 # not bucketed: their joins keep an exchange on both sides, which is what
@@ -40,53 +40,99 @@ BUCKET_KEYS = {
     "reviews": "order_id",
     "items": "order_id",
 }
+BUCKET_BYTES = 1 << 30
+
+_LOCKS: dict[str, threading.Lock] = {}
+_LOCKS_LOCK = threading.Lock()
+
+
+def source_files(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, int, int]]:
+    """(path, bytes, modification time) of all files under ``paths``, by Hadoop's file systems."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            continue
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
+
+
+def _buckets(spark: SparkSession, total_bytes: int) -> int:
+    v = spark.conf.get("mercato.landing.buckets", None)
+    return int(v) if v else max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total_bytes // BUCKET_BYTES))
 
-_LANDED: dict[tuple[str, str], dict[str, DataFrame]] = {}
-_LOCK = threading.Lock()
 
+def landing_root(spark: SparkSession) -> str:
+    return spark.conf.get("mercato.landing.dir", None) or shared_folder(spark) + "/mercato-landing"
 
-def _buckets(spark: SparkSession) -> int:
-    v = spark.conf.get("mercato.landing.buckets", None)
-    return int(v) if v else int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+def _definition(df: DataFrame) -> str:
+    """The table's analysed plan without its expression ids."""
+    return re.sub(r"#\d+L?", "", df._jdf.queryExecution().analyzed().toString()) + df.schema.simpleString()
 
-def land_tables(
-    spark: SparkSession, source: str, build: Callable[[], dict[str, DataFrame]]
-) -> dict[str, DataFrame]:
-    """Write the tables from ``build()`` as bucketed Parquet (once per session and source).
-
-    Each table is hash-partitioned by its bucket key into exactly as many
-    partitions as buckets before the write, so every write task produces one
-    bucket file and the write runs in parallel.
-    """
-    app = spark.sparkContext.applicationId
-    key = (app, source)
-    with _LOCK:
-        if key not in _LANDED:
-            _LANDED[key] = _land(spark, app, source, build)
-    return dict(_LANDED[key])
-
-
-def _land(spark: SparkSession, app: str, source: str, build) -> dict[str, DataFrame]:
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    tag = hashlib.sha1(f"{app}|{source}".encode()).hexdigest()[:12]
-    n = _buckets(spark)
-
-    def write(item: tuple[str, DataFrame]) -> tuple[str, str]:
-        name, df = item
+
+class LandedTables(Mapping):
+    """The canonical tables by name; reading one lands it if it is not there yet."""
+
+    def __init__(self, spark: SparkSession, names: Sequence[str], build: Callable[[], dict[str, DataFrame]], files: list):
+        self.spark, self.names, self.build = spark, list(names), build
+        self.n = _buckets(spark, sum(f[1] for f in files))
+        self.tag = hashlib.sha1(repr((files, self.n)).encode()).hexdigest()[:16]
+        self.frames: dict[str, DataFrame] = {}
+        self.built: dict[str, DataFrame] | None = None
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.names)
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.names:
+            raise KeyError(name)
+        with _LOCKS_LOCK:
+            lock = _LOCKS.setdefault(f"{self.tag}/{name}", threading.Lock())
+            if self.built is None:
+                self.built = self.build()
+        with lock:
+            if name not in self.frames:
+                self.frames[name] = self._landed(name)
+        return self.frames[name]
+
+    def _landed(self, name: str) -> DataFrame:
+        df, key = self.built[name], BUCKET_KEYS.get(name)
+        tag = hashlib.sha1(f"{self.tag}|{_definition(df)}".encode()).hexdigest()[:16]
         table = f"mercato_{tag}_{re.sub(r'[^a-z0-9_]', '_', name)}"
-        path = f"{root}/mercato-landing/{tag}/{name}"
-        bucket_key = BUCKET_KEYS.get(name)
-        if bucket_key:
-            # One write task per bucket: hash-partition by the bucket key first.
-            writer = df.repartition(n, bucket_key).write.bucketBy(n, bucket_key).sortBy(bucket_key)
-        else:
-            writer = df.write
-        writer = writer.mode("overwrite").format("parquet").option("path", path)
-        writer.saveAsTable(table)
-        return name, table
-
-    # Independent tables land as concurrent Spark jobs (one thread each).
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        written = dict(pool.map(write, build().items()))
-    return {name: spark.table(t) for name, t in written.items()}
+        path = f"{landing_root(self.spark)}/{tag}/{name}"
+        if not self.spark.catalog.tableExists(table):
+            if source_files(self.spark, [f"{path}/_SUCCESS"]):
+                self._register(table, path, df.schema, key)
+            else:
+                # One write task per bucket: hash-partition by the bucket key first.
+                writer = df.repartition(self.n, key).write.bucketBy(self.n, key) if key else df.write
+                writer.mode("overwrite").format("parquet").option("path", path).saveAsTable(table)
+        return self.spark.table(table)
+
+    def _register(self, table: str, path: str, schema: T.StructType, key: str | None) -> None:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        buckets = f"CLUSTERED BY ({key}) INTO {self.n} BUCKETS" if key else ""
+        self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {buckets} LOCATION '{path}'")
+
+
+_LANDED: dict[tuple[str, str], LandedTables] = {}
+
+
+def land_tables(
+    spark: SparkSession, paths: Sequence[str], names: Sequence[str], build: Callable[[], dict[str, DataFrame]]
+) -> LandedTables:
+    """The tables of ``build()`` (which reads ``paths``), landed one by one when they are first read."""
+    files = source_files(spark, paths)
+    tables = LandedTables(spark, names, build, files)
+    # The same files in the same session share the frames.
+    return _LANDED.setdefault((spark.sparkContext.applicationId, tables.tag), tables)

@@ -28,19 +28,35 @@ MART_FILES = [
 
 
 def _plain_decimal(c) -> "F.Column":
-    """Double as plain decimal text (no exponent), trailing zeros trimmed, ``12.0`` kept."""
-    text = F.format_string("%.10f", c)
-    text = F.regexp_replace(text, r"(\.\d*?[1-9])0+$", "$1")
-    return F.when(c.isNull(), F.lit(None)).otherwise(F.regexp_replace(text, r"\.0+$", ".0"))
+    """Double as its shortest exact text, without an exponent where DECIMAL(38,19) holds it; ``12.0`` is kept."""
+    text = c.cast("string")
+    plain = F.regexp_replace(text.try_cast("decimal(38,19)").cast("string"), r"(\.\d*?[1-9])0+$", "$1")
+    plain = F.regexp_replace(plain, r"\.0+$", ".0")
+    exact = plain.try_cast("double") == c
+    return F.when(text.contains("E") & F.coalesce(exact, F.lit(False)), plain).otherwise(text)
 
 
 def write_mart_csv(df: DataFrame, out_dir: str, name: str) -> str:
-    path = f"{out_dir.rstrip('/')}/{name}"
+    """Write ``out_dir/<name>.csv``, one file of a fixed name; the old file is replaced when the new one is whole."""
+    folder = f"{out_dir.rstrip('/')}/_{name}"
     cols = [
         _plain_decimal(F.col(f.name)).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
         for f in df.schema.fields
     ]
-    df.select(*cols).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.select(*cols).coalesce(1).write.mode("overwrite").option("header", True).csv(folder)
+    return _single_file(df, folder, f"{out_dir.rstrip('/')}/{name}.csv")
+
+
+def _single_file(df: DataFrame, folder: str, path: str) -> str:
+    """Move the folder's only part file to ``path`` by Hadoop's file systems."""
+    jvm = df.sparkSession.sparkContext._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(folder), jvm.org.apache.hadoop.fs.Path(path)
+    fs = source.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    part = next(s.getPath() for s in fs.listStatus(source) if s.getPath().getName().startswith("part-"))
+    fs.delete(target, True)
+    if not fs.rename(part, target):
+        raise OSError(f"could not rename {part} to {path}")
+    fs.delete(source, True)
     return path
 
 
@@ -53,7 +69,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def export_marts(marts: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
-    """Write each mart as ``out_dir/<name>/part-*.csv``; returns name -> folder."""
+    """Write each mart as ``out_dir/<name>.csv``; returns name -> file."""
     return {name: write_mart_csv(df, out_dir, name) for name, df in marts.items()}
 
 
@@ -62,5 +78,5 @@ def write_report(metrics: DataFrame, path: str) -> str:
     lines = metrics.select(
         F.format_string("%s  %s: %.4f", F.col("model"), F.col("metric"), F.col("value")).alias("value")
     )
-    lines.coalesce(1).write.mode("overwrite").text(path)
-    return path
+    lines.coalesce(1).write.mode("overwrite").text(f"{path}.parts")
+    return _single_file(metrics, f"{path}.parts", path)

@@ -23,6 +23,9 @@ def spark():
         extra_conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="mercato-test-ckpt-")},
     )
     yield s
+    from mercato.functions.common import drop_materialized
+
+    drop_materialized(s)
     s.stop()
 
 

@@ -36,7 +36,12 @@ NAMES = [
     "order_features",
     "roc_curve",
     "roc_auc",
-    "silhouette_sample",
+    "silhouette",
+    "segment_names",
+    "segment_profile",
+    "segment_sizes",
+    "segment_filter",
+    "train_test_split_balance",
     "dq_nulls",
 ]
 
