@@ -48,6 +48,6 @@ def duck_small():
     import duckdb
 
     con = duckdb.connect()
-    for t in "region nation customer supplier part orders lineitem".split():
+    for t in "region nation customer supplier part orders lineitem documents benchmark labels conversations".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con
