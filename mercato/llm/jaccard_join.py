@@ -39,20 +39,21 @@ from pyspark.sql import functions as F
 
 from mercato.functions.common import reuse_checkpointed
 from mercato.llm.components import connected_components
-from mercato.llm.text import WordHashes, row_slices, shingle_hashes, words_of
+from mercato.llm.text import WordHashes, distinct, shingle_hashes, text_words
 
 SHINGLE = 5
 PERCENT = 75
 HOT_SHINGLES = 1 << 17  # rows of the rarity table that goes to every task
 HOT_COUNT = 8
 FLUSH_SHINGLES = 1 << 20
+SLOT_BITS = 22
 SALTS = 64
 CANDIDATE_BITS = 24  # size of the candidate bitmap: 2 MB whatever the input
 
 
-def shingle_set(text: str | None, memo: WordHashes, k: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct shingle hashes (int64 view)."""
-    return np.unique(shingle_hashes(memo.of(words_of(text)), k).view(np.int64))
+def shingle_set(words: np.ndarray, k: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct shingle hashes (int64 view) of a text's word hashes."""
+    return distinct(shingle_hashes(words, k).view(np.int64))
 
 
 def set_key(s: np.ndarray) -> bytes:
@@ -60,23 +61,27 @@ def set_key(s: np.ndarray) -> bytes:
 
 
 def frequent_shingles(rows: DataFrame, at_most: int = HOT_SHINGLES) -> np.ndarray:
-    """The most frequent shingles, least frequent first.  Counts leave out shingles that a task saw once."""
+    """The most frequent shingles, least frequent first.  Counts leave out shingles that occur once in a block of a task."""
 
     def run(batches):
-        memo, held, n = WordHashes(), [], 0
+        held, n = [], 0
 
         def flush():
-            u, c = np.unique(np.concatenate(held), return_counts=True)
-            often = c > 1
-            return pa.record_batch([pa.array(u[often]), pa.array(c[often])], names=["shingle", "n"])
-
-        for b in row_slices(batches):
-            for text in b.column(1).to_pylist():
-                held.append(shingle_set(text, memo))
+            s = np.concatenate(held)
+            # Shingles alone in their hash slot occur once; only the others are sorted.
+            slot = s.view(np.uint64) >> np.uint64(64 - SLOT_BITS)
+            s = np.sort(s[np.bincount(slot.astype(np.int64), minlength=1 << SLOT_BITS)[slot.astype(np.int64)] > 1])
+            first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
+            c = np.diff(np.append(first, len(s)))
+            return pa.record_batch([pa.array(s[first][c > 1]), pa.array(c[c > 1])], names=["shingle", "n"])
+
+        for _, texts in text_words(batches, WordHashes()):
+            for words in texts:
+                held.append(shingle_hashes(words, SHINGLE).view(np.int64))
                 n += len(held[-1])
-                if n >= FLUSH_SHINGLES:
-                    yield flush()
-                    held, n = [], 0
+            if n >= FLUSH_SHINGLES:
+                yield flush()
+                held, n = [], 0
         if held:
             yield flush()
 
@@ -98,15 +103,24 @@ class RarityOrder:
     def __init__(self, ranked: np.ndarray):
         by_hash = np.argsort(ranked)
         self.sorted, self.rank = ranked[by_hash], by_hash
+        self.slots = np.zeros(1 << 20, dtype=bool)
+        self.slots[self._slot(ranked)] = True
+
+    @staticmethod
+    def _slot(s: np.ndarray) -> np.ndarray:
+        return (s.view(np.uint64) >> np.uint64(44)).astype(np.int64)
 
     def __call__(self, s: np.ndarray) -> tuple[np.ndarray, int]:
         """The ordered set and the number of unranked shingles (they come first)."""
-        if not len(self.sorted):
+        maybe = np.flatnonzero(self.slots[self._slot(s)])
+        if not len(maybe):
             return s, len(s)
-        at = np.minimum(np.searchsorted(self.sorted, s), len(self.sorted) - 1)
-        hot = self.sorted[at] == s
-        cold = s[~hot]
-        return np.concatenate([cold, s[hot][np.argsort(self.rank[at[hot]])]]), len(cold)
+        at = np.minimum(np.searchsorted(self.sorted, s[maybe]), len(self.sorted) - 1)
+        found = self.sorted[at] == s[maybe]
+        hot, at = maybe[found], at[found]
+        cold = np.ones(len(s), dtype=bool)
+        cold[hot] = False
+        return np.concatenate([s[cold], s[hot][np.argsort(self.rank[at])]]), len(s) - len(hot)
 
 
 PROFILE = "doc_id long, n long, set_id binary, grp long, cold int, prefix array<long>"
@@ -117,11 +131,11 @@ def profiles(rows: DataFrame, ranked: np.ndarray) -> DataFrame:
     handle = rows.sparkSession.sparkContext.broadcast(ranked)
 
     def run(batches):
-        memo, order, seen = WordHashes(), RarityOrder(handle.value), set()
-        for b in row_slices(batches):
+        order, seen = RarityOrder(handle.value), set()
+        for b, texts in text_words(batches, WordHashes()):
             n, keys, groups, colds, prefixes = [], [], [], [], []
-            for text in b.column(1).to_pylist():
-                s = shingle_set(text, memo)
+            for words in texts:
+                s = shingle_set(words)
                 size = len(s)
                 n.append(size)
                 if not size:
@@ -165,18 +179,38 @@ def shared_rows(profile: DataFrame) -> DataFrame:
     )
     # Copies of a group from several tasks are next to each other; singletons have no neighbour.
     rows = rows.where("before IS NULL OR before != grp").where("hot OR before IS NOT NULL OR after IS NOT NULL")
-    return rows.select("shingle", "hot", "grp", "n", "pos", F.col("pivot.grp").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
+    return rows.select("shingle", "hot", "grp", "n", F.col("pivot.grp").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
+
+
+def likely(pairs: DataFrame) -> DataFrame:
+    """Group pairs ``a, b`` from rows ``a, b, na, nb``, one per common prefix shingle: length and positional filters.
+
+    What two sets have in common is in both prefixes or behind the prefix of one
+    of them, so the common prefix shingles plus the longer rest must reach the
+    overlap that 75 % needs.
+    """
+    def rest(n):
+        return F.col(n) - prefix_length(F.col(n))
+
+    fits = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
+    c = pairs.where(fits).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
+    reach = F.col("common") + F.greatest(rest("na"), rest("nb"))
+    return c.where((100 + PERCENT) * reach >= PERCENT * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
+def prefix_length(n):
+    return n - F.ceil(n * PERCENT / 100) + 1
 
 
 def star_pairs(shared: DataFrame) -> DataFrame:
-    """Group pairs (pivot, other) that may link by size; for ranked shingles also the parts' pivots with each other."""
-    fits = 100 * F.col("pivot_n") >= PERCENT * F.col("n")
-    near = shared.where(F.col("pivot") != F.col("grp")).where(fits).select(F.col("pivot").alias("a"), F.col("grp").alias("b"))
+    """Likely group pairs (pivot, other); for ranked shingles also the parts' pivots with each other."""
+    near = shared.where(F.col("pivot") != F.col("grp"))
+    near = near.select(F.col("pivot").alias("a"), F.col("grp").alias("b"), F.col("pivot_n").alias("na"), F.col("n").alias("nb"))
     tops = shared.where("hot AND pivot = grp")
     first = Window.partitionBy("shingle").orderBy("n", "grp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tops = tops.select("grp", "n", F.first(F.struct("grp", "n")).over(first).alias("p"))
-    tops = tops.where((F.col("p.grp") != F.col("grp")) & (100 * F.col("p.n") >= PERCENT * F.col("n")))
-    return near.union(tops.select(F.col("p.grp").alias("a"), F.col("grp").alias("b"))).distinct()
+    tops = tops.select("grp", "n", F.first(F.struct("grp", "n")).over(first).alias("p")).where(F.col("p.grp") != F.col("grp"))
+    tops = tops.select(F.col("p.grp").alias("a"), F.col("grp").alias("b"), F.col("p.n").alias("na"), F.col("n").alias("nb"))
+    return likely(near.union(tops))
 
 
 def candidate_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -198,12 +232,17 @@ def candidate_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     handle = rows.sparkSession.sparkContext.broadcast(bitmap.ravel())
 
     def run(batches):
-        mask, memo = handle.value, WordHashes()
-        for b in row_slices(batches):
-            at = b.column(2).to_numpy(zero_copy_only=False)
-            hit = np.flatnonzero(mask[at >> 3] >> (at & 7).astype(np.uint8) & 1)
-            if len(hit):
-                sets = [shingle_set(t, memo) for t in b.column(1).take(pa.array(hit)).to_pylist()]
+        mask = handle.value
+
+        def wanted_rows():
+            for b in batches:
+                at = b.column(2).to_numpy(zero_copy_only=False)
+                hit = np.flatnonzero(mask[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+                yield b.take(pa.array(hit))
+
+        for _, texts in text_words(wanted_rows(), WordHashes()):
+            sets = [shingle_set(words) for words in texts]
+            if sets:
                 yield pa.record_batch(
                     [pa.array([set_key(s) for s in sets], pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["set_id", "shingles"]
                 )
@@ -251,19 +290,16 @@ def set_components(rows: DataFrame, profile: DataFrame) -> DataFrame:
     groups = placed.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     seen = shared.join(groups, "grp")
     mixed = seen.groupBy("shingle").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least != most").select("shingle")
-    left = reuse_checkpointed(seen.join(mixed, "shingle").select("shingle", "grp", "n", "pos", "lo", "hi"))
+    left = reuse_checkpointed(seen.join(mixed, "shingle").select("shingle", "grp", "n", "lo", "hi"))
     x, y = left.alias("x"), left.alias("y")
-    # The smaller set's match lies in its shorter index prefix, and the rest behind both positions can still reach the overlap.
-    rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
     cross = (
         x.join(y, "shingle")
         .where((F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.grp") < F.col("y.grp"))))
         .where(100 * F.col("x.n") >= PERCENT * F.col("y.n"))
-        .where((100 + PERCENT) * rest >= PERCENT * (F.col("x.n") + F.col("y.n")))
         .where((F.col("x.lo") != F.col("y.lo")) | (F.col("x.hi") != F.col("y.hi")) | (F.col("x.lo") != F.col("x.hi")))
-        .select(F.col("x.grp").alias("ga"), F.col("y.grp").alias("gb"))
-        .distinct()
+        .select(F.col("x.grp").alias("a"), F.col("y.grp").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
     )
+    cross = likely(cross).select(F.col("a").alias("ga"), F.col("b").alias("gb"))
     within = groups.where("lo != hi").select(F.col("grp").alias("ga"), F.col("grp").alias("gb"))
     p = placed.select("grp", "set_id", "component")
     pairs = (
