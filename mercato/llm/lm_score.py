@@ -8,7 +8,8 @@ Logarithms are kept in millionths as integers, so sums do not depend on order.
 Count tables are partitioned by hash and joined to the documents' n-grams in
 the same shuffle: a task packs the n-grams of some thousand documents into one
 row per part (keys, documents and multiplicities as byte planes), a part counts
-each n-gram over all its rows and returns what it adds to each document.
+each n-gram over all its rows and returns what it adds to its documents, packed
+into one row per block of documents; a block sums them up.
 
 Two bounded exact tables go to every task: the counts of the ``TOP_WORDS`` most
 frequent words and of the pairs of the ``DENSE_WORDS`` most frequent ones.  They
@@ -41,7 +42,8 @@ ALPHA = 0.4
 MIN_COUNT = 2
 TOP_WORDS = 1 << 16
 DENSE_WORDS = 512
-PART_WORDS = 2_000_000  # words to a part
+PART_WORDS = 1 << 20  # words to a part
+PARTS_TO_BLOCK = 4  # parts of n-grams to a block of documents
 BLOCK_WORDS = 1 << 20  # words packed at a time
 NULL_ID = -(1 << 63)
 TAIL = np.uint64(1 << 63)
@@ -246,13 +248,29 @@ def score_documents(docs: DataFrame) -> DataFrame:
     words_n, pairs_n, total = exact_counts(rows, top)
     parts = max(1, -(-total // PART_WORDS))
     packed = packed_ngrams(rows, (top, words_n, pairs_n, total), parts)
+    blocks_n = -(-parts // PARTS_TO_BLOCK)
     handle = rows.sparkSession.sparkContext.broadcast((words_n, total))
 
+    def to_blocks(ids: np.ndarray, words: np.ndarray, micro: np.ndarray) -> pd.DataFrame:
+        """One packed row per block of the documents."""
+        block = ((mix64(ids.view(np.uint64)) >> np.uint64(32)) * np.uint64(blocks_n) >> np.uint64(32)).astype(np.int32)
+        order = np.argsort(block, kind="stable")
+        block, cols = block[order], [x[order] for x in (ids, words, micro)]
+        cuts = np.append(np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])), len(block)) if len(block) else np.zeros(1, np.int64)
+        spans = list(zip(cuts[:-1], cuts[1:]))
+        packed = {n: [planes(x[a:b]) for a, b in spans] for n, x in zip(("docs", "words", "micro"), cols)}
+        return pd.DataFrame({"block": block[cuts[:-1]] if len(block) else block, **packed})
+
+    def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, words, micro = (np.concatenate([unplanes(x, np.int64) for x in pdf[c]]) for c in ("docs", "words", "micro"))
+        u, n_words = by_document(ids, words)
+        return pd.DataFrame({"doc_id": u, "n_words": n_words, "micro": by_document(ids, micro)[1]})
+
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         if pdf["part"].iloc[0] < 0:
             # Documents' own rows, spread over negative parts.
             ids, micro = by_document(pdf["doc_id"].to_numpy(np.int64), pdf["micro"].to_numpy(np.int64))
-            return pd.DataFrame({"doc_id": ids, "words": by_document(pdf["doc_id"].to_numpy(np.int64), pdf["words"].to_numpy(np.int64))[1], "micro": micro})
+            return to_blocks(ids, by_document(pdf["doc_id"].to_numpy(np.int64), pdf["words"].to_numpy(np.int64))[1], micro)
         words, n = handle.value
         log_word, log_n = mlog(words), int(mlog(np.array([n]))[0])
         found_ids, found = [], []
@@ -290,11 +308,11 @@ def score_documents(docs: DataFrame) -> DataFrame:
             seen = np.where(tail_w, 0, mlog(c)) - mlog(ch)
             add(ids, np.where(c >= MIN_COUNT, seen, np.where(tail_w, 0, MLOG_ALPHA + top_log(other) - log_n)), counts)
         ids, micro = by_document(np.concatenate(found_ids), np.concatenate(found))
-        return pd.DataFrame({"doc_id": ids, "words": np.zeros(len(ids), np.int64), "micro": micro})
+        return to_blocks(ids, np.zeros(len(ids), np.int64), micro)
 
     own = -1 - F.pmod(F.xxhash64("doc_id"), F.lit(parts))
-    scored = packed.withColumn("part", F.coalesce("part", own.cast("int"))).groupBy("part").applyInPandas(score, "doc_id long, words long, micro long")
-    per_doc = scored.groupBy("doc_id").agg(F.sum("words").alias("n_words"), F.sum("micro").alias("micro"))
+    scored = packed.withColumn("part", F.coalesce("part", own.cast("int"))).groupBy("part").applyInPandas(score, "block int, docs binary, words binary, micro binary")
+    per_doc = scored.groupBy("block").applyInPandas(add_up, "doc_id long, n_words long, micro long")
     log_score = F.col("micro") / F.lit(1e6)
     return per_doc.select(
         F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")).alias("doc_id"),
