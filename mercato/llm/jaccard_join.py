@@ -12,7 +12,8 @@ Two sets link when their Jaccard similarity is at least 75 %.
    groups enter the join.
 3. Group rows meet on prefix shingles.  First each group is paired with the
    smallest group of every shingle it shares (a star, linear in the rows) and
-   those pairs are verified; their links give preliminary components.
+   those pairs are verified; their links give preliminary components.  A second
+   star around random groups joins more of them.
 4. Only pairs of groups in different components can still add anything: shingles
    whose groups are all in one component are dropped, and the rest is joined
    with length and positional filters.
@@ -48,6 +49,7 @@ HOT_COUNT = 8
 FLUSH_SHINGLES = 1 << 20
 SLOT_BITS = 22
 SALTS = 64
+STAR_ROUNDS = 2
 CANDIDATE_BITS = 24  # size of the candidate bitmap: 2 MB whatever the input
 
 
@@ -279,18 +281,18 @@ def set_components(rows: DataFrame, profile: DataFrame) -> DataFrame:
         .union(crowd.where("set_id != lead").select(F.col("lead").alias("a"), F.col("set_id").alias("b")))
         .distinct()
     )
-    edges = verified(rows, stars, members)
-    first = reuse_checkpointed(connected_components(edges))
-    # What is left: pairs of groups on a shared shingle, in different components.
-    placed = reuse_checkpointed(
-        members.join(first.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-            "set_id", "grp", "n", "doc_id", F.coalesce("component", "set_id").alias("component")
-        )
-    )
-    groups = placed.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    seen = shared.join(groups, "grp")
-    mixed = seen.groupBy("shingle").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least != most").select("shingle")
-    left = reuse_checkpointed(seen.join(mixed, "shingle").select("shingle", "grp", "n", "lo", "hi"))
+    first = reuse_checkpointed(connected_components(verified(rows, stars, members)))
+    placed, groups, left = unsettled(shared, members, first)
+    # More stars around other pivots join what one pivot leaves apart, before pairs are formed.
+    for seed in range(1, STAR_ROUNDS):
+        order = Window.partitionBy("shingle").orderBy(F.xxhash64("grp", F.lit(seed)), "grp")
+        order = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        near = left.select("grp", "n", "lo", "hi", F.first(F.struct("grp", "n", "lo", "hi")).over(order).alias("p"))
+        near = near.where((F.col("p.grp") != F.col("grp")) & ((F.col("p.lo") != F.col("lo")) | (F.col("p.hi") != F.col("hi"))))
+        near = likely(near.select(F.col("p.grp").alias("a"), F.col("grp").alias("b"), F.col("p.n").alias("na"), F.col("n").alias("nb")))
+        more = verified(rows, set_pairs(near.select(F.col("a").alias("ga"), F.col("b").alias("gb")), placed), members)
+        first = reuse_checkpointed(connected_components(hubs(first).union(more)))
+        placed, groups, left = unsettled(shared, members, first)
     x, y = left.alias("x"), left.alias("y")
     cross = (
         x.join(y, "shingle")
@@ -301,18 +303,38 @@ def set_components(rows: DataFrame, profile: DataFrame) -> DataFrame:
     )
     cross = likely(cross).select(F.col("a").alias("ga"), F.col("b").alias("gb"))
     within = groups.where("lo != hi").select(F.col("grp").alias("ga"), F.col("grp").alias("gb"))
+    more = verified(rows, set_pairs(cross.union(within), placed), members)
+    return connected_components(hubs(first).union(more)).select(F.col("node").alias("set_id"), "component")
+
+
+def hubs(components: DataFrame) -> DataFrame:
+    """The components' edges to their smallest nodes."""
+    return components.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
+def unsettled(shared: DataFrame, members: DataFrame, components: DataFrame):
+    """(sets with their component, components of each group, the shared rows of shingles with several components)."""
+    placed = reuse_checkpointed(
+        members.join(components.withColumnRenamed("node", "set_id"), "set_id", "left").select(
+            "set_id", "grp", "n", "doc_id", F.coalesce("component", "set_id").alias("component")
+        )
+    )
+    groups = placed.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    seen = shared.join(groups, "grp")
+    mixed = seen.groupBy("shingle").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least != most").select("shingle")
+    return placed, groups, reuse_checkpointed(seen.join(mixed, "shingle").select("shingle", "grp", "n", "lo", "hi"))
+
+
+def set_pairs(group_pairs: DataFrame, placed: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of the sets of paired groups ``ga, gb`` that are in different components."""
     p = placed.select("grp", "set_id", "component")
-    pairs = (
-        cross.union(within)
-        .join(p.select(F.col("grp").alias("ga"), F.col("set_id").alias("a"), F.col("component").alias("ca")), "ga")
+    return (
+        group_pairs.join(p.select(F.col("grp").alias("ga"), F.col("set_id").alias("a"), F.col("component").alias("ca")), "ga")
         .join(p.select(F.col("grp").alias("gb"), F.col("set_id").alias("b"), F.col("component").alias("cb")), "gb")
         .where("ca != cb")
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    more = verified(rows, pairs, members)
-    stars_of_first = first.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return connected_components(stars_of_first.union(more)).select(F.col("node").alias("set_id"), "component")
 
 
 def linked_documents(docs: DataFrame) -> DataFrame:
