@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from mercato.llm.text import mix64, row_slices
 
 CELLS = 24
+CELLS_AT_ONCE = 1 << 16
 PARAGRAPH = re.compile(r"\n+|(?<=[.!?]) ")
 
 
@@ -110,10 +111,16 @@ def differences(a: list[np.ndarray], b: list[np.ndarray], cells: int = CELLS) ->
     out = np.zeros(len(a), np.int64)
     todo = np.arange(len(a))
     while len(todo):
-        x, y = sketches([a[i] for i in todo], cells), sketches([b[i] for i in todo], cells)
-        found, whole = peel(x[0] - y[0], x[1] - y[1], x[2] - y[2])
-        out[todo[whole]] = found[whole]
-        todo, cells = todo[~whole], 2 * cells
+        stuck = []
+        # Some rows at a time, so that the cells held stay bounded however often a long text is retried.
+        step = max(1, CELLS_AT_ONCE // cells)
+        for at in range(0, len(todo), step):
+            part = todo[at : at + step]
+            x, y = sketches([a[i] for i in part], cells), sketches([b[i] for i in part], cells)
+            found, whole = peel(x[0] - y[0], x[1] - y[1], x[2] - y[2])
+            out[part[whole]] = found[whole]
+            stuck.append(part[~whole])
+        todo, cells = np.concatenate(stuck), 2 * cells
     return out
 
 
