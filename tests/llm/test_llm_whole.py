@@ -68,3 +68,10 @@ def test_word_lines_of_the_table(spark):
     want = brute_word_lines(dict(zip(d.doc_id.tolist(), d.text)))
     got = {r["doc_id"]: r["kept_sha256"] for r in line_dedup.dedup_report(documents(spark, SF)).collect()}
     assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in want.items()}
+
+
+def test_rows_of_one_id_lose_their_own_lines(spark):
+    rows = [(None, "p\nq"), (None, "r\np"), (7, "s\nt"), (7, "u\ns")]
+    out = line_dedup.dedup_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    left = {i: sorted(x for r in out if r["doc_id"] == i for x in r["text"].split("\n") if x) for i in (None, 7)}
+    assert left == {None: ["p", "q", "r"], 7: ["s", "t", "u"]}
