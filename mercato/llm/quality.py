@@ -8,8 +8,8 @@ weights.
 
 Training (on the driver, follow-the-regularised-leader with per-coordinate
 rates) sees a bounded sample: at most about ``TRAIN_DOCS`` labelled documents
-picked by a hash of doc_id, of each the n-grams of at most ``TRAIN_TOKENS``
-tokens.  Scoring reads every text whole.
+picked by a hash of doc_id, each whole, as distinct n-gram slots with counts.
+Scoring reads every text whole.
 
 Defined cases: null and empty texts have no n-gram and get the sigmoid of the
 bias; labels that are null are not learned from; of several labels of one
@@ -33,7 +33,6 @@ from mercato.llm.text import MEMO_WORDS, row_slices
 
 BITS = 18
 TRAIN_DOCS = 6000
-TRAIN_TOKENS = 2000
 THRESHOLD = 0.3
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -51,11 +50,9 @@ class TokenHashes(dict):
 REPEAT = np.uint64(0x9E3779B97F4A7C15)
 
 
-def ngram_slots(text: str | None, memo: TokenHashes, at_most: int | None = None) -> np.ndarray:
+def ngram_slots(text: str | None, memo: TokenHashes) -> np.ndarray:
     """Weight slots of the text's token unigrams and bigrams, repeats included."""
     tokens = TOKEN.findall(text) if text else []
-    if at_most is not None:
-        tokens = tokens[:at_most]
     h = np.fromiter(map(memo.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
     if len(h) > 1:
         h = np.where(np.concatenate([[False], h[1:] == h[:-1]]), REPEAT, h)
@@ -73,8 +70,8 @@ class QualityModel:
         return float(1 / (1 + np.exp(-np.clip(dot + self.bias, -35, 35))))
 
 
-def ftrl(rows: list[tuple[np.ndarray, int]], epochs: int = 3, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.02, l2: float = 1.0) -> QualityModel:
-    """FTRL-proximal logistic regression over ``(slots, label)`` rows in the given order."""
+def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 3, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.02, l2: float = 1.0) -> QualityModel:
+    """FTRL-proximal logistic regression over ``(distinct slots, their counts, label)`` rows in the given order."""
     size = 1 << BITS
     z, n = np.zeros(size), np.zeros(size)
     zb = nb = 0.0
@@ -82,7 +79,7 @@ def ftrl(rows: list[tuple[np.ndarray, int]], epochs: int = 3, alpha: float = 0.3
     def solve(z, n):
         return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((beta + np.sqrt(n)) / alpha + l2))
 
-    data = [(*np.unique(s, return_counts=True), len(s), y) for s, y in rows]
+    data = [(idx, count, int(count.sum()), y) for idx, count, y in rows]
     for _ in range(epochs):
         for idx, count, total, y in data:
             x = count / np.sqrt(total) if total else count.astype(float)
@@ -104,7 +101,7 @@ def held_out(of: int = 5, remainder: int = 0):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
-    """``doc_id, quality, slots`` of a bounded hash sample of the labelled, not held-out documents."""
+    """``doc_id, quality, slots, counts`` (distinct n-gram slots of the whole text) of a bounded hash sample of the labelled, not held-out documents."""
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     n = known.count()
     u = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(5)), F.lit(1 << 30)) / float(1 << 30)
@@ -120,10 +117,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DO
     def run(batches):
         memo = TokenHashes()
         for b in row_slices(batches):
-            slots = [ngram_slots(t, memo, TRAIN_TOKENS).tobytes() for t in b.column(2).to_pylist()]
-            yield pa.record_batch([b.column(0), b.column(1), pa.array(slots, pa.binary())], names=["doc_id", "quality", "slots"])
+            pairs = [np.unique(ngram_slots(t, memo), return_counts=True) for t in b.column(2).to_pylist()]
+            slots, counts = (pa.array([p[k].astype(np.int32).tobytes() for p in pairs], pa.binary()) for k in range(2))
+            yield pa.record_batch([b.column(0), b.column(1), slots, counts], names=["doc_id", "quality", "slots", "counts"])
 
-    return rows.mapInArrow(run, "doc_id long, quality int, slots binary")
+    return rows.mapInArrow(run, "doc_id long, quality int, slots binary, counts binary")
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> QualityModel:
@@ -132,8 +130,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Qua
         return QualityModel(np.zeros(1 << BITS, np.float32), 0.0)
     # A fixed, mixed order whatever the partitions.
     rows["order"] = [xxhash.xxh32_intdigest(str(d)) for d in rows["doc_id"]]
-    rows = rows.sort_values(["order", "doc_id", "slots"], kind="stable")
-    return ftrl([(np.frombuffer(s, np.int32), int(q)) for s, q in zip(rows["slots"], rows["quality"])])
+    rows = rows.sort_values(["order", "doc_id", "slots", "counts"], kind="stable")
+    return ftrl([(np.frombuffer(s, np.int32), np.frombuffer(c, np.int32), int(q)) for s, c, q in zip(rows["slots"], rows["counts"], rows["quality"])])
 
 
 def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:

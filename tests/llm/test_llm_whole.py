@@ -5,9 +5,10 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 from helpers import line_shingles
 
-from mercato.llm import line_dedup
+from mercato.llm import line_dedup, quality
 
 
 def line_word_set(line):
@@ -30,6 +31,27 @@ def brute_word_lines(texts):
     return out
 
 
+# ---------------------------------------------------------------- 4: quality
+
+
+def test_training_reads_whole_texts(spark):
+    rng = random.Random(4)
+    vocab = [f"w{i}" for i in range(300)]
+
+    def text(tail):
+        return " ".join(rng.choices(vocab, k=2100) + [tail] + rng.choices(vocab, k=20) + [tail])
+
+    docs = [(i, text("fine" if i % 2 else "spoilt")) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i, _ in docs], "doc_id long, quality int, toxic int")
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    sizes = {r["doc_id"]: int(np.frombuffer(r["counts"], np.int32).sum()) for r in quality.training_rows(frame, labels).collect()}
+    assert len(sizes) > 30 and set(sizes.values()) == {2 * 2122 - 1}
+    model = quality.fit(frame, labels)
+    memo = quality.TokenHashes()
+    fine, spoilt = (model.weights[quality.ngram_slots(w, memo)][0] for w in ("fine", "spoilt"))
+    assert fine > 0 > spoilt
+
+
 # ---------------------------------------------------------------- 5: lines
 
 
