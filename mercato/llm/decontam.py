@@ -184,26 +184,38 @@ def benchmark_blocks(benchmark: DataFrame, block_items: int = BLOCK_ITEMS):
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """One row per document and benchmark item found in it (``MATCH_SCHEMA``)."""
+    return matches_of_rows(docs, benchmark, block_items).drop("row")
+
+
+def row_key():
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def matches_of_rows(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """``find_matches`` with ``row``, a hash of the document's text."""
     spark, out = docs.sparkSession, None
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    schema = f"{MATCH_SCHEMA}, row long"
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), row_key().alias("row"))
     for block in benchmark_blocks(benchmark, block_items):
         handle = spark.sparkContext.broadcast(block)
 
         def run(batches, handle=handle):
             index = BenchmarkIndex(handle.value)
             for b, texts in text_words(batches, WordHashes()):
-                found = [(doc_id, *m) for doc_id, h in zip(b.column(0).to_pylist(), texts) for m in index.matches(h)]
+                ids = zip(b.column(0).to_pylist(), b.column(2).to_pylist(), texts)
+                found = [(doc_id, *m, row) for doc_id, row, h in ids for m in index.matches(h)]
                 if found:
-                    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32())
-                    names = ["doc_id", "item_id", "start_word", "n_words", "similarity", "distance"]
+                    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int64())
+                    names = ["doc_id", "item_id", "start_word", "n_words", "similarity", "distance", "row"]
                     yield pa.record_batch([pa.array(list(c), t) for c, t in zip(zip(*found), types)], names=names)
 
-        one = rows.mapInArrow(run, MATCH_SCHEMA)
+        one = rows.mapInArrow(run, schema)
         out = one if out is None else out.unionAll(one)
-    return out if out is not None else spark.createDataFrame([], MATCH_SCHEMA)
+    return out if out is not None else spark.createDataFrame([], schema)
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without a benchmark match; rows with a null doc_id are kept."""
-    bad = find_matches(docs, benchmark).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """Documents without a benchmark match; rows that share a doc_id, or have none, are told apart by their text."""
+    bad = matches_of_rows(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (row_key() == F.col("_row"))
+    return docs.join(bad, same, "left_anti").select(*docs.columns)

@@ -25,7 +25,8 @@ one text cost a star instead of all pairs; exact copies are one node.
 
 Defined cases: null or wordless text has no shingle and links with nothing;
 fewer than five words are one shingle; repeated rows are equal sets, null
-doc_ids are kept and never become a component id while another id is there;
+doc_ids are kept and never become a component id while another id is there (in
+``one_of_each`` rows of one doc_id and different texts are documents of their own);
 extra columns are ignored; an empty table returns no rows.
 """
 
@@ -125,11 +126,11 @@ class RarityOrder:
         return np.concatenate([s[cold], s[hot][np.argsort(self.rank[at])]]), len(s) - len(hot)
 
 
-PROFILE = "doc_id long, n long, set_id binary, grp long, cold int, prefix array<long>"
+PROFILE = "doc_id long, n long, set_id binary, grp long, cold int, prefix array<long>, row long"
 
 
 def profiles(rows: DataFrame, ranked: np.ndarray) -> DataFrame:
-    """Per document: set size and key, group key, and the prefix (once per task and group)."""
+    """Per document: set size and key, group key, the prefix (once per task and group) and the row key, the third column of ``rows``."""
     handle = rows.sparkSession.sparkContext.broadcast(ranked)
 
     def run(batches):
@@ -154,9 +155,9 @@ def profiles(rows: DataFrame, ranked: np.ndarray) -> DataFrame:
             yield pa.record_batch(
                 [
                     b.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(groups, pa.int64()),
-                    pa.array(colds, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array(colds, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), b.column(2),
                 ],
-                names=["doc_id", "n", "set_id", "grp", "cold", "prefix"],
+                names=["doc_id", "n", "set_id", "grp", "cold", "prefix", "row"],
             )
 
     return rows.mapInArrow(run, PROFILE)
@@ -337,21 +338,34 @@ def set_pairs(group_pairs: DataFrame, placed: DataFrame) -> DataFrame:
     )
 
 
-def linked_documents(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document."""
+def placed_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the documents' profiles, ``set_id, component, component_id`` of all sets with a shingle)."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    profile = reuse_checkpointed(profiles(rows, frequent_shingles(rows)))
+    profile = reuse_checkpointed(profiles(rows.withColumn("row", F.xxhash64("text")), frequent_shingles(rows)))
     components = set_components(rows, profile)
     classes = profile.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     classes = classes.join(components, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = classes.join(smallest, "component").select("set_id", "component_id")
-    found = profile.select("doc_id", "n", "set_id").join(ids, "set_id", "left")
+    return profile, classes.join(smallest, "component").select("set_id", "component", "component_id")
+
+
+def linked_documents(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document."""
+    profile, ids = placed_rows(docs)
+    found = profile.select("doc_id", "n", "set_id").join(ids.select("set_id", "component_id"), "set_id", "left")
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each component: a row of its smallest doc_id.  Rows with a null doc_id are kept, repeated ones once."""
-    chosen = linked_documents(docs).select(F.col("component_id").alias("doc_id")).distinct()
-    kept = docs.join(chosen, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()).dropDuplicates())
+    """One document of each component of sets: a row of its smallest doc_id (null only without others), of several texts the least hash.
+
+    Rows without a shingle link with nothing: one row of each doc_id and text is kept.
+    """
+    profile, ids = placed_rows(docs)
+    key = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    linked = profile.join(ids, "set_id").groupBy("component").agg(F.min(key).alias("k"))
+    chosen = linked.select(F.col("k.doc_id").alias("_id"), F.col("k.row").alias("_row"))
+    chosen = chosen.union(profile.where("n = 0").select("doc_id", "row").distinct())
+    keyed = docs.withColumns({"_key_id": F.col("doc_id").cast("long"), "_key_row": F.xxhash64(F.col("text").cast("string"))})
+    kept = keyed.join(chosen, F.col("_key_id").eqNullSafe(F.col("_id")) & (F.col("_key_row") == F.col("_row")), "left_semi")
+    return kept.dropDuplicates(["_key_id", "_key_row"]).select(*docs.columns)

@@ -8,7 +8,7 @@ import random
 import numpy as np
 from helpers import line_shingles
 
-from mercato.llm import line_dedup, quality
+from mercato.llm import decontam, jaccard_join, line_dedup, quality
 
 
 def line_word_set(line):
@@ -97,3 +97,27 @@ def test_rows_of_one_id_lose_their_own_lines(spark):
     out = line_dedup.dedup_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     left = {i: sorted(x for r in out if r["doc_id"] == i for x in r["text"].split("\n") if x) for i in (None, 7)}
     assert left == {None: ["p", "q", "r"], 7: ["s", "t", "u"]}
+
+
+# ---------------------------------------------------------------- 2 and 8: rows of one id
+
+
+def texts_left(df):
+    return sorted((str(r["doc_id"]), r["text"]) for r in df.collect())
+
+
+def test_near_duplicates_of_rows_of_one_id(spark):
+    x = " ".join(f"x{i}" for i in range(60))
+    y, z = x.replace("x", "y"), x.replace("x", "z")
+    rows = [(1, x), (1, y), (1, y), (2, y + " more"), (None, x + " end"), (None, z), (None, z + " end"), (None, ""), (None, ""), (None, None), (3, "")]
+    left = texts_left(jaccard_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).fillna("null", "text"))
+    want = [("1", x), ("1", y), ("3", ""), ("None", ""), ("None", "null")]
+    assert left in [sorted([*want, ("None", t)]) for t in (z, z + " end")]
+
+
+def test_decontamination_of_rows_of_one_id(spark):
+    item = "the cat sat on the mat and then it slept all day long"
+    rows = [(None, f"so {item} again"), (None, "a clean text without an id"), (1, item), (1, "a clean text of the same id"), (2, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert texts_left(decontam.clean_documents(docs, bench)) == sorted((str(i), t) for i, t in rows if "clean" in t)
