@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from mercato.llm import chat, decontam, fingerprint, jaccard_join, language, line_dedup, lm_score, mixing, quality, secrets
+from mercato.llm import byte_bpe, chat, decontam, fingerprint, jaccard_join, language, line_dedup, lm_score, mixing, quality, secrets
 from mercato.llm.text import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,12 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(documents(spark, sf_dir))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe.round_trip_report(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 OPERATORS = (
     op1_document_fingerprints,
     op2_benchmark_decontamination,
@@ -74,6 +80,7 @@ OPERATORS = (
     op8_jaccard_join,
     op9_secret_scan,
     op10_lm_scoring,
+    op13_byte_bpe,
 )
 
 
