@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from mercato.llm import byte_bpe, chat, decontam, fingerprint, jaccard_join, language, line_dedup, lm_score, mixing, quality, secrets
+from mercato.llm import byte_bpe, chat, decontam, fingerprint, jaccard_join, language, line_dedup, lm_score, mixing, periodic, quality, secrets, whitening
 from mercato.llm.text import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,14 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(documents(spark, sf_dir))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.runs_report(documents(spark, sf_dir))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -80,6 +88,8 @@ OPERATORS = (
     op8_jaccard_join,
     op9_secret_scan,
     op10_lm_scoring,
+    op11_periodic_runs,
+    op12_embedding_whitening,
     op13_byte_bpe,
 )
 
