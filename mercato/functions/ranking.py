@@ -129,6 +129,7 @@ def running_totals(
     values: Sequence[str],
     prefix: str = "cum_",
     num_partitions: int | None = None,
+    following: Sequence[str] = (),
 ) -> DataFrame:
     """Inclusive running sums of ``values`` along a total ``order``, distributed.
 
@@ -136,19 +137,33 @@ def running_totals(
     a running sum within the slice (window per partition id) plus the sums
     of all earlier slices (a table of one row per partition, broadcast)
     gives the global running sum.  No single-partition exchange.
+
+    ``following`` names columns whose value in the next row comes as ``next_<name>``
+    (null in the last row): ``lead`` within a slice, and for a slice's last row the
+    first row of the next slice, which is part of the one-row-per-partition table.
     """
     keys = [F.col(o) if isinstance(o, str) else o for o in order]
     n_parts = _partitions(df, num_partitions)
     # Written once so that the totals and the running sums see the same
     # partition of every row (see the module note on consistency).
     tagged = reuse_checkpointed(df.repartitionByRange(n_parts, *keys).withColumn("_pid", F.spark_partition_id()))
-    totals = tagged.groupBy("_pid").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("_pid").orderBy(*keys)
+    if following:
+        first = F.struct(*following)
+        tagged = tagged.withColumn("_row", F.row_number().over(within)).withColumn("_next", F.lead(first).over(within))
+    edges = [F.max(F.when(F.col("_row") == 1, F.struct(*following))).alias("_head")] if following else []
+    totals = tagged.groupBy("_pid").agg(*[F.sum(v).alias(f"_t_{v}") for v in values], *edges)
+    in_order = Window.orderBy("_pid")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        "_pid", *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in values]
+        "_pid",
+        *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in values],
+        *([F.lead("_head").over(in_order).alias("_next_head")] if following else []),
     )
-    within = Window.partitionBy("_pid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
     out = tagged.join(F.broadcast(offsets), "_pid", "inner")
     for v in values:
-        out = out.withColumn(prefix + v, F.col(f"_o_{v}") + F.sum(v).over(within))
-    return out.drop("_pid", *[f"_o_{v}" for v in values])
+        running = F.sum(v).over(within.rowsBetween(Window.unboundedPreceding, 0))
+        out = out.withColumn(prefix + v, F.col(f"_o_{v}") + running)
+    for f in following:
+        out = out.withColumn(f"next_{f}", F.coalesce("_next", "_next_head")[f])
+    return out.drop("_pid", "_row", "_next", "_next_head", *[f"_o_{v}" for v in values])

@@ -213,6 +213,31 @@ def q_roc_curve(spark, d):
     return ev.roc_curve(delay_test_scored(spark, d), "is_late", "score")
 
 
+@register(
+    "roc_curve_thinned",
+    W(
+        """
+        , sc AS (
+          SELECT score AS threshold, sum(is_late) AS pos, sum(1 - is_late) AS neg FROM delay_test GROUP BY score
+        ), cum AS (
+          SELECT threshold, pos, neg,
+                 sum(pos) OVER o AS cp, sum(neg) OVER o AS cn, sum(pos) OVER () AS P, sum(neg) OVER () AS N,
+                 lag(threshold) OVER (ORDER BY threshold DESC) AS before,
+                 lead(pos) OVER (ORDER BY threshold DESC) AS next_pos, lead(neg) OVER (ORDER BY threshold DESC) AS next_neg
+          FROM sc WINDOW o AS (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+        )
+        SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr
+        UNION ALL
+        SELECT threshold, CAST(cn AS DOUBLE) / CAST(N AS DOUBLE), CAST(cp AS DOUBLE) / CAST(P AS DOUBLE)
+        FROM cum WHERE before IS NULL OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg
+        """
+    ),
+)
+def q_roc_curve_thinned(spark, d):
+    """The curve without the inner points on a straight line, scikit-learn's default."""
+    return ev.roc_curve(delay_test_scored(spark, d), "is_late", "score", drop_intermediate=True)
+
+
 @register(
     "roc_auc",
     W(
@@ -327,6 +352,38 @@ def q_silhouette(spark, d):
     return s.select(F.round("silhouette", 6).alias("silhouette_sq_euclidean"), "points")
 
 
+@register(
+    "silhouette_sample",
+    W(
+        _RFM_F
+        + f"""
+        , pts AS (
+          SELECT md5(CAST(customer_unique_id AS VARCHAR)) AS pt, CAST(recency > 180 AS INTEGER) * 2 + CAST(frequency > 7 AS INTEGER) AS c,
+                 recency_z AS x0, frequency_z AS x1, monetary_z AS x2
+          FROM z ORDER BY pt LIMIT 10000
+        ), sizes AS (SELECT c, count(*) AS n FROM pts GROUP BY c
+        ), sums AS (
+          SELECT p.pt, p.c, q.c AS oc,
+                 sum(sqrt((p.x0 - q.x0) * (p.x0 - q.x0) + (p.x1 - q.x1) * (p.x1 - q.x1) + (p.x2 - q.x2) * (p.x2 - q.x2))) AS d
+          FROM pts p, pts q GROUP BY p.pt, p.c, q.c
+        ), per AS (
+          SELECT pt, max(CASE WHEN oc = sums.c THEN n END) AS n, max(CASE WHEN oc = sums.c AND n > 1 THEN d / (n - 1) END) AS a,
+                 min(CASE WHEN oc <> sums.c THEN d / n END) AS b
+          FROM sums JOIN sizes ON sizes.c = oc GROUP BY pt
+        )
+        SELECT {R('avg(CASE WHEN n <= 1 OR b IS NULL THEN 0.0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0.0) END)', 6)} AS silhouette_euclidean,
+               count(*) AS points
+        FROM per
+        """
+    ),
+)
+def q_silhouette_sample(spark, d):
+    """Euclidean silhouette over the 10,000 persons with the smallest key hashes (fixed labels)."""
+    z = rfm_scaled_frame(spark, d).withColumn("cluster", _fixed_cluster())
+    s = ev.silhouette_sample(z, ["recency_z", "frequency_z", "monetary_z"], "cluster", "customer_unique_id")
+    return s.select(F.round("silhouette", 6).alias("silhouette_euclidean"), "points")
+
+
 _SEGMENTS = """
 , lab AS (SELECT *, CAST(recency > 180 AS INTEGER) * 2 + CAST(frequency > 7 AS INTEGER) AS cluster FROM z),
 nm AS (

@@ -100,3 +100,15 @@ def q_stream_monthly_revenue(spark, d):
     from mercato.streaming.incremental import monthly_revenue_stream_once
 
     return monthly_revenue_stream_once(spark, d)
+
+
+@register(
+    "stream_state_persons",
+    "SELECT customer_state, count(DISTINCT customer_unique_id) AS persons, true AS within_bound FROM fact_r "
+    "WHERE customer_state IS NOT NULL GROUP BY customer_state",
+)
+def q_stream_state_persons(spark, d):
+    """Distinct persons per state, and whether the refresh's stored sketches come near them."""
+    from mercato.streaming.incremental import state_persons_check
+
+    return state_persons_check(spark, d)
