@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from mercato.functions.binning import apply_bins, label_bucket, qcut, quantile_table, quantiles_from_ranked
 from mercato.functions.common import reuse_checkpointed, scalar
 from mercato.functions.ranking import rank_first_bucket, rank_with_offsets
+from mercato.functions.sketches import approx_qcut
 from mercato.functions.timefx import floor_days, plus_days
 
 CUST = "customer_unique_id"
@@ -36,9 +37,16 @@ def customer_value(fact: DataFrame) -> DataFrame:
     )
 
 
-def customer_value_segments(fact: DataFrame) -> DataFrame:
-    """Quartile value segments Low/Medium/High/VIP on total spend (``qcut(.., 4)``)."""
-    binned = qcut(customer_value(fact), "total_spent", 4, "segment_rank", tiebreak=[CUST])
+def customer_value_segments(fact: DataFrame, approx: bool = False) -> DataFrame:
+    """Quartile value segments Low/Medium/High/VIP on total spend (``qcut(.., 4)``).
+
+    ``approx`` takes the edges from a mergeable sketch (``functions.sketches``, rank error
+    ``rank_error()``) instead of ranking all persons; the persons are computed once.
+    """
+    if approx:
+        binned = approx_qcut(reuse_checkpointed(customer_value(fact)), "total_spent", 4, "segment_rank")
+    else:
+        binned = qcut(customer_value(fact), "total_spent", 4, "segment_rank", tiebreak=[CUST])
     return binned.withColumn("value_segment", label_bucket(F.col("segment_rank"), VALUE_SEGMENT_LABELS))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from mercato.functions import sketches as sk
+from mercato.functions.common import reuse_checkpointed
 from mercato.operators import customers as cu
 from mercato.operators.fact import sales_fact
 from mercato.plans.catalog import R, register, tables
@@ -38,6 +40,12 @@ def q_customer_value_segments(spark, d):
     return cu.customer_value_segments(_fact(spark, d))
 
 
+@register("customer_value_segments_approx")
+def q_customer_value_segments_approx(spark, d):
+    """The segments' edges from a sketch, with the exact rank error of each and its stated bound."""
+    return sk.edge_errors(reuse_checkpointed(cu.customer_value(_fact(spark, d))), "total_spent", [i / 4 for i in range(5)])
+
+
 @register(
     "value_segment_describe",
     _SEG

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from mercato.operators import quality as dq
+from mercato.operators import quarantine as qr
 from mercato.operators.fact import sales_fact
 from mercato.plans.catalog import R, register, tables
 from mercato.sources.roles import load_role_tables
@@ -91,6 +92,63 @@ def q_dq_join_fanout(spark, d):
     return dq.join_fanout(t, sales_fact(t))
 
 
+_QUARANTINE_SQL = " UNION ALL ".join(
+    [
+        f"SELECT '{t}' AS table_name, 'null:{c}' AS rule, CAST(count(*) - count({c}) AS BIGINT) AS rows FROM {_VIEW[t]}"
+        for t, cols in CRITICAL_COLUMNS.items()
+        for c in cols
+    ]
+    + [
+        f"SELECT '{t}' AS table_name, 'negative:{c}' AS rule, count(*) FILTER (WHERE {c} < 0) AS rows FROM {_VIEW[t]}"
+        for t, cols in qr.NOT_NEGATIVE.items()
+        for c in cols
+    ]
+)
+
+
+@register("dq_quarantine", _QUARANTINE_SQL)
+def q_dq_quarantine(spark, d):
+    """Rejected rows of every table by rule, from the written quarantine."""
+    return qr.report(qr.quarantine_tables(load_role_tables(spark, d)))
+
+
+def _inferred_sql() -> str:
+    from mercato.sources.inference import DECIMAL, INTEGER
+    from mercato.sources.schemas import CANONICAL_SCHEMAS
+
+    parts = []
+    for t, schema in CANONICAL_SCHEMAS.items():
+        for f in schema.fields:
+            text = f"CAST({f.name} AS VARCHAR)"
+            parts.append(
+                f"(SELECT '{t}' AS table_name, '{f.name}' AS column_name, "
+                f"CASE WHEN count({f.name}) = 0 THEN 'empty' WHEN bool_and(regexp_matches({text}, '{INTEGER}')) THEN 'integer' "
+                f"WHEN bool_and(regexp_matches({text}, '{DECIMAL}')) THEN 'decimal' "
+                f"WHEN bool_and(try_cast({text} AS TIMESTAMP) IS NOT NULL) FILTER (WHERE {f.name} IS NOT NULL) THEN 'timestamp' ELSE 'text' END AS inferred_type, "
+                f"count(*) AS rows, CAST(count(*) - count({f.name}) AS BIGINT) AS nulls FROM {_VIEW[t]})"
+            )
+    return " UNION ALL ".join(parts)
+
+
+@register("csv_inferred_schema", _inferred_sql())
+def q_csv_inferred_schema(spark, d):
+    """Types of the tables inferred from text copies of them (CSV with a header)."""
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from mercato.functions.common import materialized_folder
+    from mercato.sources import inference as inf
+
+    out = None
+    for name, df in load_role_tables(spark, d).items():
+        path = f"{materialized_folder(spark)}/{uuid.uuid4().hex}"
+        df.write.csv(path, header=True, escape='"')
+        types = inf.inferred_schema(inf.read_csv_text(spark, path).rows).select(F.lit(name).alias("table_name"), "*")
+        out = types if out is None else out.unionByName(types)
+    return out
+
+
 @register(
     "stream_monthly_revenue",
     "SELECT order_month, " + R("CAST(sum(payment_value) AS DOUBLE)") + " AS revenue FROM fact_r GROUP BY order_month",

@@ -123,6 +123,13 @@ def _tables(spark: SparkSession, args) -> dict[str, DataFrame]:
         from mercato.sources.readers import load_csv_tables
 
         files = dict(x.split("=", 1) for x in args.csv)
+        if args.max_rejected is not None:
+            from mercato.operators.quarantine import load_csv_gated
+
+            split = load_csv_gated(spark, files, args.max_rejected)
+            for name, q in split.items():
+                write_parquet(q.rejected, f"{args.out.rstrip('/')}/rejected/{name}")
+            return land_tables(spark, sorted(files.values()), list(files), lambda: {n: q.accepted for n, q in split.items()})
         return land_tables(spark, sorted(files.values()), list(files), lambda: load_csv_tables(spark, files))
     from mercato.plans.catalog import tables
 
@@ -135,6 +142,12 @@ def main(argv=None) -> None:
     src.add_argument("--csv", nargs="+", metavar="TABLE=FILE", help="CSV file of each canonical table")
     src.add_argument("--testdata", help="folder of the TPC-H-like test tables")
     ap.add_argument("--out", required=True)
+    ap.add_argument(
+        "--max-rejected",
+        type=float,
+        metavar="SHARE",
+        help="with --csv: put rows that fail a quality rule aside under OUT/rejected; more than this share of a table stops the run",
+    )
     ap.add_argument("run", choices=["marts", "analysis", "models", "dashboard"])
     args = ap.parse_args(argv)
 
