@@ -1,13 +1,21 @@
 """Operator 1, document fingerprints: invertible Bloom lookup sketches of paragraphs.
 
-A text is cut into paragraphs (lines, cut again after sentence ends); the
-n-th occurrence of a paragraph has its own 64-bit digest, so a text is a set of
-digests.  Its sketch has ``cells`` cells in three equal parts; every digest is
+A text is cut into paragraphs (lines, cut again after sentence ends; what is still
+long is cut at words that its own content chooses, so that an edit moves no cut
+elsewhere).  The n-th occurrence of a paragraph has its own 64-bit digest, so a
+text is a set of digests.  A sketch has cells in three equal parts; every digest is
 added to one cell of each part as (count, digest sum, check sum).  Subtracting
 two sketches leaves the digests that differ; peeling cells that hold a single
-digest recovers them.  When peeling gets stuck, both sketches are made again
-with twice the cells.  With ``d`` recovered digests the likeness of texts of
-``a`` and ``b`` digests is their Jaccard similarity ``(a + b - d) / (a + b + d)``.
+digest recovers them, with the side they are on.
+
+A text's published sketch has ``cells_for`` cells: 1.5 to 3 for each paragraph, so two
+versions of a text that share half their paragraphs can be told apart from the
+sketches alone.  The number of cells in a part is a power of two and a digest's
+cell its hash modulo it, so a larger sketch folds to the size of a smaller one by
+adding cells, and any two sketches can be subtracted.  When peeling gets stuck, both
+sketches are made again with twice the cells.  With ``d`` recovered digests the
+likeness of texts of ``a`` and ``b`` digests is their Jaccard similarity
+``(a + b - d) / (a + b + d)``.
 
 ``edited_report`` pairs each document with the next one in descending doc_id
 by one range shuffle: bounds are existing ids, and the document at a bound is
@@ -16,7 +24,7 @@ last document.  No text meets more than its neighbours.
 
 Defined cases: null text counts as empty; two empty texts have likeness 1, an
 empty and a non-empty one 0; equal doc_ids are ordered by text; null doc_ids
-come last; a single document is its own successor; extra columns are ignored;
+come last, and rows of one id (or without one) meet in one range; a single document is its own successor; extra columns are ignored;
 an empty table returns no rows.
 """
 
@@ -34,37 +42,74 @@ from pyspark.sql import functions as F
 
 from mercato.llm.text import mix64, row_slices
 
-CELLS = 24
+LEAST_PART = 8
 CELLS_AT_ONCE = 1 << 16
 PARAGRAPH = re.compile(r"\n+|(?<=[.!?]) ")
+LONG = 100  # code points of a paragraph that is cut again
+ONE_IN = 6  # of its words end a piece, on average
+STRETCH = re.compile(r"\S{1,64}\s*|\s+")
+
+
+def pieces(paragraph: str) -> list[str]:
+    """A long paragraph cut behind the words whose hash says so and behind repeats of the word
+    before (stretches without white space are words of 64 code points at most)."""
+    if len(paragraph) <= LONG:
+        return [paragraph]
+    out, held, before = [], [], None
+    for word in STRETCH.findall(paragraph):
+        held.append(word)
+        word = word.rstrip()
+        if word == before or xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) % ONE_IN == 0:
+            out.append("".join(held))
+            held = []
+        before = word
+    if held:
+        out.append("".join(held))
+    return out
 
 
 def digests(text: str) -> np.ndarray:
     """Digests of the text's paragraphs, each occurrence of a repeated paragraph its own."""
     seen: dict[str, int] = {}
     out = []
-    for p in PARAGRAPH.split(text):
-        if p:
+    for paragraph in PARAGRAPH.split(text):
+        for p in pieces(paragraph) if paragraph else ():
             n = seen.get(p, 0)
             seen[p] = n + 1
             out.append(xxhash.xxh3_64_intdigest(p.encode("utf-8", "surrogatepass"), seed=n))
     return np.array(out, dtype=np.uint64)
 
 
+def cells_for(paragraphs: int) -> int:
+    """Cells of the published sketch of a text: three parts of the least power of two with 1.5 a paragraph."""
+    return 3 * max(LEAST_PART, 1 << max(0, (paragraphs + 1) // 2 - 1).bit_length())
+
+
 def check_of(keys: np.ndarray) -> np.ndarray:
     return mix64(keys ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(32)
 
 
+LOW = np.uint64(0xFFFFFFFF)  # check sums count modulo 2^32
+
+
 def cells_of(keys: np.ndarray, cells: int) -> list[np.ndarray]:
-    """The cell of each key in each of the three parts."""
+    """The cell of each key in each of the three parts (of a power of two cells)."""
     third = cells // 3
+    if 3 * third != cells or third & (third - 1):
+        raise ValueError("a sketch has three parts of a power of two cells")
     out = []
     for part, salt in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)):
-        h = mix64(keys ^ np.uint64((salt * (cells | 1)) & 0xFFFFFFFFFFFFFFFF))
-        out.append((h % np.uint64(third)).astype(np.int64) + part * third)
+        h = mix64(keys ^ np.uint64(salt))
+        out.append((h & np.uint64(third - 1)).astype(np.int64) + part * third)
     return out
 
 
+def fold(sketch, cells: int):
+    """A sketch of fewer cells from a larger one: cells whose hashes agree modulo the smaller size are added."""
+    n = len(sketch[0])
+    return tuple(x.reshape(n, 3, -1, cells // 3).sum(axis=2, dtype=x.dtype).reshape(n, cells) for x in sketch)
+
+
 def sketches(sets: list[np.ndarray], cells: int):
     """(count, digest sum, check sum) arrays [len(sets), cells]; sums wrap around."""
     n = len(sets)
@@ -85,60 +130,85 @@ def _add(count, key, check, base, keys, sign, cells) -> None:
 
 
 def peel(count, key, check):
-    """Digests recovered per row of subtracted sketches, and whether the row came out whole."""
+    """(row, digest, side) of the digests recovered from subtracted sketches, and whether each row came out whole."""
     n, cells = count.shape
     count, key, check = count.ravel().copy(), key.ravel().copy(), check.ravel().copy()
-    found = np.zeros(n, np.int64)
-    live = np.flatnonzero(count)
-    while len(live):
-        sign = count[live]
-        k = key[live] * sign.astype(np.uint64)
-        pure = (np.abs(sign) == 1) & (check[live] * sign.astype(np.uint64) == check_of(k))
+    found = []
+    touched = np.flatnonzero(count)
+    while len(touched):
+        # Any cell that changed may have become pure, also one whose count was zero before.
+        sign = count[touched]
+        k = key[touched] * sign.astype(np.uint64)
+        pure = (np.abs(sign) == 1) & ((check[touched] * sign.astype(np.uint64)) & LOW == check_of(k))
         if not pure.any():
             break
-        row, k, sign = live[pure] // cells, k[pure], sign[pure]
-        _, first = np.unique(np.stack([row.astype(np.uint64), k]), axis=1, return_index=True)
+        row, k, sign = touched[pure] // cells, k[pure], sign[pure]
+        order = np.lexsort((k, row))
+        row, k, sign = row[order], k[order], sign[order]
+        first = np.ones(len(row), bool)
+        first[1:] = (row[1:] != row[:-1]) | (k[1:] != k[:-1])
         row, k, sign = row[first], k[first], sign[first]
-        found += np.bincount(row, minlength=n)
+        found.append((row, k, sign))
         _add(count, key, check, row * cells, k, -sign, cells)
-        live = live[count[live] != 0]
-    stuck = ((count != 0) | (key != 0)).reshape(n, cells).any(axis=1)
-    return found, ~stuck
-
-
-def differences(a: list[np.ndarray], b: list[np.ndarray], cells: int = CELLS) -> np.ndarray:
-    """Number of digests in exactly one of ``a[i]`` and ``b[i]``, by peeling, retrying with twice the cells."""
-    out = np.zeros(len(a), np.int64)
+        touched = np.unique(np.concatenate([row * cells + at for at in cells_of(k, cells)]))
+    stuck = ((count != 0) | (key != 0) | (check & LOW != 0)).reshape(n, cells).any(axis=1)
+    if not found:
+        return (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)), ~stuck
+    return tuple(np.concatenate(x) for x in zip(*found)), ~stuck
+
+
+def differences(a: list[np.ndarray], b: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Digests in ``a[i]`` alone and in ``b[i]`` alone, recovered from sketches of the size of the smaller
+    published one, retried with twice the cells where peeling gets stuck."""
+    out: list = [None] * len(a)
+    size = np.array([cells_for(min(len(x), len(y))) for x, y in zip(a, b)], dtype=np.int64)
     todo = np.arange(len(a))
     while len(todo):
         stuck = []
-        # Some rows at a time, so that the cells held stay bounded however often a long text is retried.
-        step = max(1, CELLS_AT_ONCE // cells)
-        for at in range(0, len(todo), step):
-            part = todo[at : at + step]
-            x, y = sketches([a[i] for i in part], cells), sketches([b[i] for i in part], cells)
-            found, whole = peel(x[0] - y[0], x[1] - y[1], x[2] - y[2])
-            out[part[whole]] = found[whole]
-            stuck.append(part[~whole])
-        todo, cells = np.concatenate(stuck), 2 * cells
+        for cells in np.unique(size[todo]).tolist():
+            same = todo[size[todo] == cells]
+            # Some rows at a time, so that the cells held stay bounded.
+            step = max(1, CELLS_AT_ONCE // cells)
+            for at in range(0, len(same), step):
+                part = same[at : at + step]
+                x, y = sketches([a[i] for i in part], cells), sketches([b[i] for i in part], cells)
+                (row, keys, side), whole = peel(x[0] - y[0], x[1] - y[1], x[2] - y[2])
+                for j, i in enumerate(part.tolist()):
+                    if whole[j]:
+                        mine = row == j
+                        out[i] = (keys[mine & (side > 0)], keys[mine & (side < 0)])
+                    else:
+                        stuck.append(i)
+        todo = np.array(stuck, dtype=np.int64)
+        size[todo] *= 2
     return out
 
 
 def likeness(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    d = differences(a, b)
+    d = np.array([len(x) + len(y) for x, y in differences(a, b)], dtype=np.int64)
     n = np.array([len(x) + len(y) for x, y in zip(a, b)], dtype=np.int64)
     return np.where(n + d > 0, (n - d) / np.maximum(n + d, 1), 1.0)
 
 
-def fingerprints(sets: list[np.ndarray], cells: int = CELLS) -> list[str]:
-    """The sketches as text: paragraph number and cells, base64."""
-    count, key, check = sketches(sets, cells)
-    c32 = count.astype("<i4")
-    k32 = check.astype("<u4")
-    return [
-        base64.b64encode(len(s).to_bytes(4, "little") + c32[i].tobytes() + key[i].astype("<u8").tobytes() + k32[i].tobytes()).decode()
-        for i, s in enumerate(sets)
-    ]
+def fingerprints(sets: list[np.ndarray]) -> list[str]:
+    """The published sketches as text: numbers of paragraphs and cells, then the cells, base64."""
+    out = []
+    for s in sets:
+        cells = cells_for(len(s))
+        count, key, check = sketches([s], cells)
+        head = len(s).to_bytes(4, "little") + cells.to_bytes(4, "little")
+        out.append(base64.b64encode(head + count.astype("<i4").tobytes() + key.astype("<u8").tobytes() + check.astype("<u4").tobytes()).decode())
+    return out
+
+
+def read_fingerprint(text: str):
+    """(paragraphs, sketch) of a published fingerprint; the sketch can be folded, subtracted and peeled
+    (its check sums hold 32 bits)."""
+    data = base64.b64decode(text)
+    n, cells = int.from_bytes(data[:4], "little"), int.from_bytes(data[4:8], "little")
+    count = np.frombuffer(data, "<i4", cells, 8).astype(np.int64)[None]
+    key = np.frombuffer(data, "<u8", cells, 8 + 4 * cells)[None]
+    return n, (count, key, np.frombuffer(data, "<u4", cells, 8 + 12 * cells).astype(np.uint64)[None])
 
 
 def edited(text: str, following: str) -> str:
