@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.text import mix64, row_slices
+from mercato.llm.text import distinct, mix64, row_slices
 
 LEAST_PART = 8
 CELLS_AT_ONCE = 1 << 16
@@ -69,15 +69,18 @@ def pieces(paragraph: str) -> list[str]:
 
 
 def digests(text: str) -> np.ndarray:
-    """Digests of the text's paragraphs, each occurrence of a repeated paragraph its own."""
+    """Digests of the text's paragraphs, each occurrence of a repeated paragraph its own; sorted, each once
+    (a digest twice in a set would fill its cells for good)."""
     seen: dict[str, int] = {}
-    out = []
+    hashes, times = [], []
     for paragraph in PARAGRAPH.split(text):
         for p in pieces(paragraph) if paragraph else ():
             n = seen.get(p, 0)
             seen[p] = n + 1
-            out.append(xxhash.xxh3_64_intdigest(p.encode("utf-8", "surrogatepass"), seed=n))
-    return np.array(out, dtype=np.uint64)
+            hashes.append(xxhash.xxh3_64_intdigest(p.encode("utf-8", "surrogatepass")))
+            times.append(n)
+    # The occurrence is mixed in outside the hash, whose seeds may collide on short texts.
+    return distinct(mix64(np.array(hashes, dtype=np.uint64) + np.array(times, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
 
 def cells_for(paragraphs: int) -> int:

@@ -116,6 +116,9 @@ def test_half_equal_long_texts_are_alike():
     other = fingerprint.edited(text, " ".join(rng.choice(words, 400)))
     assert 0.2 < fingerprint.likeness([fingerprint.digests(text)], [fingerprint.digests(other)])[0] < 0.5
     assert len(fingerprint.digests("x" * 100_000)) > 1
+    # Every occurrence of a short repeated paragraph has its own digest.
+    for p in ("=", "ab", "abcdefg", "x" * 40):
+        assert len(fingerprint.digests("\n".join([p] * 3000))) == 3000
 
 
 # ---------------------------------------------------------------- 2: decontamination
