@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.text import distinct, mix64, row_slices
+from mercato.llm.text import MEMO_WORDS, distinct, mix64, row_slices
 
 LEAST_PART = 8
 CELLS_AT_ONCE = 1 << 16
@@ -50,35 +50,41 @@ ONE_IN = 6  # of its words end a piece, on average
 STRETCH = re.compile(r"\S{1,64}\s*|\s+")
 
 
-def pieces(paragraph: str) -> list[str]:
+def pieces(paragraph: str, known: dict[str, tuple[str, bool]]) -> list[str]:
     """A long paragraph cut behind the words whose hash says so and behind repeats of the word
-    before (stretches without white space are words of 64 code points at most)."""
-    if len(paragraph) <= LONG:
-        return [paragraph]
+    before (stretches without white space are words of 64 code points at most).  ``known``
+    remembers words: without the white space behind them, and whether they end a piece."""
     out, held, before = [], [], None
-    for word in STRETCH.findall(paragraph):
-        held.append(word)
-        word = word.rstrip()
-        if word == before or xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) % ONE_IN == 0:
+    for stretch in STRETCH.findall(paragraph):
+        held.append(stretch)
+        found = known.get(stretch)
+        if found is None:
+            word = stretch.rstrip()
+            found = known[stretch] = (word, xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) % ONE_IN == 0)
+            if len(known) > MEMO_WORDS:
+                known.clear()
+        if found[1] or found[0] == before:
             out.append("".join(held))
             held = []
-        before = word
+        before = found[0]
     if held:
         out.append("".join(held))
     return out
 
 
-def digests(text: str) -> np.ndarray:
+def digests(text: str, known: dict[str, tuple[str, bool]] | None = None) -> np.ndarray:
     """Digests of the text's paragraphs, each occurrence of a repeated paragraph its own; sorted, each once
     (a digest twice in a set would fill its cells for good)."""
+    known = {} if known is None else known
     seen: dict[str, int] = {}
     hashes, times = [], []
     for paragraph in PARAGRAPH.split(text):
-        for p in pieces(paragraph) if paragraph else ():
-            n = seen.get(p, 0)
-            seen[p] = n + 1
-            hashes.append(xxhash.xxh3_64_intdigest(p.encode("utf-8", "surrogatepass")))
-            times.append(n)
+        for p in (paragraph,) if len(paragraph) <= LONG else pieces(paragraph, known):
+            if p:
+                n = seen.get(p, 0)
+                seen[p] = n + 1
+                hashes.append(xxhash.xxh3_64_intdigest(p.encode("utf-8", "surrogatepass")))
+                times.append(n)
     # The occurrence is mixed in outside the hash, whose seeds may collide on short texts.
     return distinct(mix64(np.array(hashes, dtype=np.uint64) + np.array(times, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
@@ -160,14 +166,13 @@ def peel(count, key, check):
     return tuple(np.concatenate(x) for x in zip(*found)), ~stuck
 
 
-def differences(a: list[np.ndarray], b: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Digests in ``a[i]`` alone and in ``b[i]`` alone, recovered from sketches of the size of the smaller
-    published one, retried with twice the cells where peeling gets stuck."""
-    out: list = [None] * len(a)
+def peeled(a: list[np.ndarray], b: list[np.ndarray]):
+    """(indices, (row, digest, side)) of pairs whose differences came out whole, from sketches of the size of
+    the smaller published one, retried with twice the cells where peeling gets stuck; ``row`` counts in ``indices``."""
     size = np.array([cells_for(min(len(x), len(y))) for x, y in zip(a, b)], dtype=np.int64)
     todo = np.arange(len(a))
     while len(todo):
-        stuck = []
+        stuck = [todo[:0]]
         for cells in np.unique(size[todo]).tolist():
             same = todo[size[todo] == cells]
             # Some rows at a time, so that the cells held stay bounded.
@@ -176,31 +181,44 @@ def differences(a: list[np.ndarray], b: list[np.ndarray]) -> list[tuple[np.ndarr
                 part = same[at : at + step]
                 x, y = sketches([a[i] for i in part], cells), sketches([b[i] for i in part], cells)
                 (row, keys, side), whole = peel(x[0] - y[0], x[1] - y[1], x[2] - y[2])
-                for j, i in enumerate(part.tolist()):
-                    if whole[j]:
-                        mine = row == j
-                        out[i] = (keys[mine & (side > 0)], keys[mine & (side < 0)])
-                    else:
-                        stuck.append(i)
-        todo = np.array(stuck, dtype=np.int64)
+                stuck.append(part[~whole])
+                sure = whole[row]
+                yield part[whole], (np.cumsum(whole)[row[sure]] - 1, keys[sure], side[sure])
+        todo = np.concatenate(stuck)
         size[todo] *= 2
+
+
+def differences(a: list[np.ndarray], b: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Recovered digests in ``a[i]`` alone and in ``b[i]`` alone."""
+    out: list = [None] * len(a)
+    for part, (row, keys, side) in peeled(a, b):
+        for j, i in enumerate(part.tolist()):
+            out[i] = (keys[(row == j) & (side > 0)], keys[(row == j) & (side < 0)])
     return out
 
 
 def likeness(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    d = np.array([len(x) + len(y) for x, y in differences(a, b)], dtype=np.int64)
+    d = np.zeros(len(a), np.int64)
+    for part, (row, _, _) in peeled(a, b):
+        d[part] = np.bincount(row, minlength=len(part))
     n = np.array([len(x) + len(y) for x, y in zip(a, b)], dtype=np.int64)
     return np.where(n + d > 0, (n - d) / np.maximum(n + d, 1), 1.0)
 
 
 def fingerprints(sets: list[np.ndarray]) -> list[str]:
     """The published sketches as text: numbers of paragraphs and cells, then the cells, base64."""
-    out = []
-    for s in sets:
-        cells = cells_for(len(s))
-        count, key, check = sketches([s], cells)
-        head = len(s).to_bytes(4, "little") + cells.to_bytes(4, "little")
-        out.append(base64.b64encode(head + count.astype("<i4").tobytes() + key.astype("<u8").tobytes() + check.astype("<u4").tobytes()).decode())
+    out: list = [""] * len(sets)
+    size = np.array([cells_for(len(s)) for s in sets], dtype=np.int64)
+    for cells in np.unique(size).tolist():
+        same = np.flatnonzero(size == cells).tolist()
+        step = max(1, CELLS_AT_ONCE // cells)
+        for at in range(0, len(same), step):
+            part = same[at : at + step]
+            count, key, check = sketches([sets[i] for i in part], cells)
+            count, check = count.astype("<i4"), check.astype("<u4")
+            for j, i in enumerate(part):
+                head = len(sets[i]).to_bytes(4, "little") + cells.to_bytes(4, "little")
+                out[i] = base64.b64encode(head + count[j].tobytes() + key[j].tobytes() + check[j].tobytes()).decode()
     return out
 
 
@@ -258,7 +276,7 @@ def edited_report(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     def pairs(batches):
         """(range, doc_id, text, following) of every document; a range without smaller ids takes the next range's."""
         held, tail_of = None, None
-        for b in row_slices(batches, 128):
+        for b in row_slices(batches, 512):
             out = []
             for r, tail, doc_id, text in zip(*(b.column(i).to_pylist() for i in range(4))):
                 if tail:
@@ -275,11 +293,14 @@ def edited_report(docs: DataFrame, ranges: int | None = None) -> DataFrame:
             raise RuntimeError(f"range {held[0]} has no successor row")
 
     def run(batches):
+        known: dict[str, tuple[str, bool]] = {}
         for rows in pairs(batches):
-            own = [digests(t) for _, t, _ in rows]
+            own = [digests(t, known) for _, t, _ in rows]
             texts = [edited(t, f) for _, t, f in rows]
-            changed = [digests(t) for t in texts]
-            following = [own[i + 1] if i + 1 < len(rows) and rows[i + 1][1] is rows[i][2] else digests(rows[i][2]) for i in range(len(rows))]
+            changed = [digests(t, known) for t in texts]
+            # A row's next text is mostly the following row's own.
+            after = [rows[i + 1][1] is r[2] if i + 1 < len(rows) else False for i, r in enumerate(rows)]
+            following = [own[i + 1] if same else digests(rows[i][2], known) for i, same in enumerate(after)]
             yield pa.record_batch(
                 [
                     pa.array([r[0] for r in rows], pa.int64()),
