@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.text import WordHashes, shingle_hashes, text_words, words_of
+from mercato.llm.text import WordHashes, boxed, shingle_hashes, text_words, words_of
 
 SHINGLE = 5
 SIMILARITY = 0.75
@@ -217,5 +217,6 @@ def matches_of_rows(docs: DataFrame, benchmark: DataFrame, block_items: int = BL
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without a benchmark match; rows that share a doc_id, or have none, are told apart by their text."""
     bad = matches_of_rows(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (row_key() == F.col("_row"))
-    return docs.join(bad, same, "left_anti").select(*docs.columns)
+    rows = boxed(docs, F.col("doc_id").cast("long").alias("_key"), row_key().alias("_hash"))
+    same = F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_row"))
+    return rows.join(bad, same, "left_anti").select("_doc.*")

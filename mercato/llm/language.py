@@ -143,8 +143,9 @@ def training_windows(docs: DataFrame, per_lang: int = PER_LANG, windows: int = S
     counts = {r["lang"]: r["n"] for r in learn.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return docs.sparkSession.createDataFrame([], "lang string, window binary")
-    # Position of the document in hash order, as a fraction of the language's documents.
-    u = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
+    # Position of the document in hash order, as a fraction of the language's documents; the
+    # text is hashed with the id, so rows of one id (or none) are drawn one by one.
+    u = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
     share = F.lit(0.0)
     for lang, n in counts.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, per_lang / n))).otherwise(share)
@@ -158,7 +159,7 @@ def training_windows(docs: DataFrame, per_lang: int = PER_LANG, windows: int = S
                     continue
                 data = text.encode("utf-8", "surrogatepass")
                 x = tiles(data)
-                rng = np.random.default_rng(zlib.crc32(str(doc_id).encode()))
+                rng = np.random.default_rng(zlib.crc32(data, zlib.crc32(str(doc_id).encode())))
                 for k in sorted(rng.permutation(len(x))[:windows].tolist()):
                     langs.append(lang)
                     out.append(x[k].tobytes())
@@ -243,5 +244,8 @@ def language_report(docs: DataFrame) -> DataFrame:
 
 def accepted_documents(docs: DataFrame) -> DataFrame:
     """Documents in a learned language: neither ``und`` nor below ``MIN_SCORE``; a null ``lang`` is filled in."""
-    d = identified_documents(docs, fit(docs)).where((F.col("lang_pred") != UND) & (F.col("score") >= MIN_SCORE))
-    return d.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    rest = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("_doc"), "text")
+    d = identified_documents(rows, fit(docs)).where((F.col("lang_pred") != UND) & (F.col("score") >= MIN_SCORE))
+    own = {"text": F.col("text"), "lang": F.coalesce("_doc.lang", "lang_pred")}
+    return d.select(*[own.get(c, F.col("_doc")[c]).alias(c) for c in docs.columns])

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.common import reuse_checkpointed
+from mercato.llm.text import beside, boxed
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -180,8 +181,9 @@ def plan_mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """The mixed corpus: every document as often as the plan takes it, with its ``size`` and ``copy`` number from 1."""
-    keyed = _keyed(docs, seed)
+    """The mixed corpus: every document as often as the plan takes it, with its ``size`` and ``copy`` number
+    from 1; columns of those names come as ``input_<name>``."""
+    keyed = _keyed(boxed(docs, "doc_id", "source", "text"), seed).drop("text")
     copy = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    names = [c for c in docs.columns if c not in ("size", "copy")]
-    return _planned(keyed, keyed).where("_copies > 0").select(*names, F.col("_size").alias("size"), copy.alias("copy"))
+    own = beside(docs, "size", "copy")
+    return _planned(keyed, keyed).where("_copies > 0").select(*own, F.col("_size").alias("size"), copy.alias("copy"))

@@ -11,7 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _ODD = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
@@ -151,5 +152,24 @@ def text_words(batches: Iterator[pa.RecordBatch], hasher: WordHashes, column: in
         yield b, np.split(h, np.cumsum(counts)[:-1])
 
 
+def boxed(docs: DataFrame, *names: str) -> DataFrame:
+    """All columns of ``docs`` as one struct ``_doc``, beside the named ones: no column of
+    the caller's can clash with one that an operator adds (``_doc.*`` gives them back)."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *names)
+
+
+def beside(docs: DataFrame, *added: str) -> list[Column]:
+    """The columns of ``_doc``; one that is named like an added column comes as ``input_<name>``."""
+    taken = {*docs.columns, *added}
+    out = []
+    for c in docs.columns:
+        name = c
+        while name in added or (name != c and name in taken):
+            name = f"input_{name}"
+        taken.add(name)
+        out.append(F.col("_doc")[c].alias(name))
+    return out
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -156,3 +156,47 @@ def test_chat_edges(spark):
     assert back[1]["loss_text"] == rows[3][3] and back[None]["loss_text"] == ""
     assert [tuple(x) for x in back[2]["turns"]] == [("", "no role")]
     assert chat.chat_report(t.limit(0)).collect() == []
+
+
+CLASHING = ["lines", "n_removed", "n_lines", "_id", "_row", "_key", "_hash", "_text", "_lines", "_doc", "score", "lang_pred", "size", "copy", "input_size", "row", "_h", "_b", "_size"]
+
+
+def clashing_docs(spark):
+    rows = [(*r[:5], *(f"{r[0]} {c}" for c in CLASHING)) for r in EDGE_DOCS if r[1] is not LONG]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int, " + ", ".join(f"`{c}` string" for c in CLASHING))
+
+
+def extras(df, names):
+    return sorted(str(tuple(r[c] for c in ["doc_id", *names])) for r in df.collect())
+
+
+def test_clashing_columns_stay_the_callers(spark):
+    docs = clashing_docs(spark)
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    stages = (line_dedup.documents_left, lambda d: decontam.clean_documents(d, bench(spark)), language.accepted_documents)
+    for stage in stages:
+        out = stage(docs)
+        assert out.columns == docs.columns
+        assert sorted(str(r["doc_id"]) for r in out.collect()) == sorted(str(r["doc_id"]) for r in stage(plain).collect())
+        assert all(r[c] == f"{r['doc_id']} {c}" for r in out.collect() for c in CLASHING)
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == [{"size": "input_input_size", "copy": "input_copy"}.get(c, c) for c in docs.columns] + ["size", "copy"]
+    assert all(r["input_input_size"] == f"{r['doc_id']} size" and r["input_size"] == f"{r['doc_id']} input_size" for r in mixed.collect())
+    deduped = line_dedup.dedup_documents(docs)
+    assert {"input_n_lines", "input_n_removed", "n_lines", "n_removed"} <= set(deduped.columns) and deduped.count() == docs.count()
+
+
+def test_languages_of_rows_without_ids(spark):
+    rows = [(None, f"le chat dort sur la table et mange du pain numéro {i}", "fr") for i in range(300)]
+    rows += [(1, f"the cat sleeps on the table and eats bread number {i}", "en") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = language.identified_documents(docs, language.fit(docs)).collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in out) > 570
+
+
+def test_texts_of_many_lines(spark):
+    text = "\n".join(["the same short line of words again"] * 20_000 + ["another line"])
+    docs = spark.createDataFrame([(1, text), (2, "the same short line of words again\nits own line")], "doc_id long, text string")
+    by = {r["doc_id"]: r for r in line_dedup.dedup_documents(docs).collect()}
+    assert by[1]["text"] == "the same short line of words again\nanother line" and by[1]["n_removed"] == 19_999
+    assert by[2]["text"] == "its own line"
