@@ -25,6 +25,7 @@ import hashlib
 import re
 import threading
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -41,6 +42,7 @@ BUCKET_KEYS = {
     "items": "order_id",
 }
 BUCKET_BYTES = 1 << 30
+SIDE_BY_SIDE = 4  # tables that are written at a time
 
 _LOCKS: dict[str, threading.Lock] = {}
 _LOCKS_LOCK = threading.Lock()
@@ -105,6 +107,19 @@ class LandedTables(Mapping):
                 self.frames[name] = self._landed(name)
         return self.frames[name]
 
+    def land(self, names: Sequence[str] | None = None) -> None:
+        """Land several tables (all by default) side by side: their jobs share the cluster, each under its own lock."""
+        with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+            list(pool.map(self.__getitem__, self.names if names is None else names))
+
+    def values(self):
+        self.land()
+        return super().values()
+
+    def items(self):
+        self.land()
+        return super().items()
+
     def _landed(self, name: str) -> DataFrame:
         df, key = self.built[name], BUCKET_KEYS.get(name)
         tag = hashlib.sha1(f"{self.tag}|{_definition(df)}".encode()).hexdigest()[:16]

@@ -58,3 +58,16 @@ def test_buckets_follow_the_size(spark):
 def test_unknown_table(spark):
     t = tables(spark, SF_SMALL)
     assert "orders" in t and "nothing" not in t
+
+
+def test_tables_land_side_by_side(spark, tmp_path):
+    from mercato.sources.landing import LandedTables
+
+    spark.conf.set("mercato.landing.dir", str(tmp_path))
+    try:
+        build = lambda: {n: spark.range(50).selectExpr("id as order_id", f"id + {i} as v") for i, n in enumerate(("orders", "payments", "other"))}
+        t = LandedTables(spark, ["orders", "payments", "other"], build, [(str(tmp_path), 1, 1)])
+        assert {n: df.agg({"v": "sum"}).first()[0] for n, df in t.items()} == {"orders": 1225, "payments": 1275, "other": 1325}
+        assert len(t.frames) == 3 and [df.count() for df in t.values()] == [50, 50, 50]
+    finally:
+        spark.conf.unset("mercato.landing.dir")
