@@ -16,9 +16,12 @@ Two sets link when their Jaccard similarity is at least 75 %.
    star around random groups joins more of them.
 4. Only pairs of groups in different components can still add anything: shingles
    whose groups are all in one component are dropped, and the rest is joined
-   with length and positional filters.
-5. Group pairs are expanded to pairs of distinct sets and verified on the whole
-   sets, which are computed again from the texts of candidates only.
+   with length and positional filters inside the join: what a linked pair shares
+   first leaves enough of both sets behind it.
+5. Group pairs are expanded to pairs of distinct sets.  A parity of about one bit
+   a shingle bounds what two sets do not share and drops most pairs below 75 %;
+   the others are verified on the whole sets, which are computed again from the
+   texts of candidates only.
 
 No link between different components is lost, while thousands of near copies of
 one text cost a star instead of all pairs; exact copies are one node.
@@ -59,6 +62,33 @@ def shingle_set(words: np.ndarray, k: int = SHINGLE) -> np.ndarray:
     return distinct(shingle_hashes(words, k).view(np.int64))
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """Parities of the set's shingles in hash slots, as longs; as many slots as the power of two from ``len(s)`` on (at least 64).
+
+    A shingle that two sets do not share flips one bit, and the halves of a
+    parity, added up, are the parity of half as many slots.
+    """
+    slots = max(64, 1 << (len(s) - 1).bit_length())
+    slot = (s.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32) & np.uint64(slots - 1)
+    odd = np.bincount(slot.astype(np.int64), minlength=slots).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
+def similar_parity(sa, sb, na, nb):
+    """Sets of similarity PERCENT differ in at most (100 - PERCENT) / (100 + PERCENT) of their sizes' sum."""
+    size = F.least(F.size(sa), F.size(sb))
+
+    def xor(x, y):
+        return x.bitwiseXOR(y)
+
+    def folded(p):
+        # Sizes within PERCENT are at most one power of two apart.
+        return F.when(F.size(p) > size, F.zip_with(F.slice(p, 1, size), F.slice(p, size + 1, size), xor)).otherwise(p)
+
+    apart = F.aggregate(F.zip_with(folded(sa), folded(sb), xor), F.lit(0), lambda acc, x: acc + F.bit_count(x))
+    return (100 + PERCENT) * apart <= (100 - PERCENT) * (na + nb)
+
+
 def set_key(s: np.ndarray) -> bytes:
     return hashlib.md5(s.tobytes()).digest()
 
@@ -126,38 +156,40 @@ class RarityOrder:
         return np.concatenate([s[cold], s[hot][np.argsort(self.rank[at])]]), len(s) - len(hot)
 
 
-PROFILE = "doc_id long, n long, set_id binary, grp long, cold int, prefix array<long>, row long"
+PROFILE = "doc_id long, n long, set_id binary, grp long, cold int, prefix array<long>, row long, bits array<long>"
 
 
 def profiles(rows: DataFrame, ranked: np.ndarray) -> DataFrame:
-    """Per document: set size and key, group key, the prefix (once per task and group) and the row key, the third column of ``rows``."""
+    """Per document: set size and key, group key, the prefix and parity (once per task and group, task and set) and the row key, the third column of ``rows``."""
     handle = rows.sparkSession.sparkContext.broadcast(ranked)
 
     def run(batches):
-        order, seen = RarityOrder(handle.value), set()
+        order, seen, met = RarityOrder(handle.value), set(), set()
         for b, texts in text_words(batches, WordHashes()):
-            n, keys, groups, colds, prefixes = [], [], [], [], []
+            n, keys, groups, colds, prefixes, bits = [], [], [], [], [], []
             for words in texts:
                 s = shingle_set(words)
                 size = len(s)
                 n.append(size)
                 if not size:
-                    keys.append(None), groups.append(None), colds.append(0), prefixes.append(None)
+                    keys.append(None), groups.append(None), colds.append(0), prefixes.append(None), bits.append(None)
                     continue
                 ordered, cold = order(s)
                 prefix = ordered[: size - -(-PERCENT * size // 100) + 1]
                 grp = hashlib.md5(size.to_bytes(8, "little") + prefix.tobytes()).digest()
-                if len(seen) > 1 << 20:
-                    seen.clear()
+                if len(met) > 1 << 20:
+                    seen.clear(), met.clear()
                 keys.append(set_key(s)), groups.append(int.from_bytes(grp[:8], "little", signed=True)), colds.append(min(cold, len(prefix)))
                 prefixes.append(None if grp in seen else prefix)
                 seen.add(grp)
+                bits.append(None if keys[-1] in met else parity(s))
+                met.add(keys[-1])
             yield pa.record_batch(
                 [
                     b.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(groups, pa.int64()),
-                    pa.array(colds, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), b.column(2),
+                    pa.array(colds, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), b.column(2), pa.array(bits, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n", "set_id", "grp", "cold", "prefix", "row"],
+                names=["doc_id", "n", "set_id", "grp", "cold", "prefix", "row", "bits"],
             )
 
     return rows.mapInArrow(run, PROFILE)
@@ -182,7 +214,7 @@ def shared_rows(profile: DataFrame) -> DataFrame:
     )
     # Copies of a group from several tasks are next to each other; singletons have no neighbour.
     rows = rows.where("before IS NULL OR before != grp").where("hot OR before IS NOT NULL OR after IS NOT NULL")
-    return rows.select("shingle", "hot", "grp", "n", F.col("pivot.grp").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
+    return rows.select("shingle", "hot", "grp", "n", "pos", F.col("pivot.grp").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
 
 
 def likely(pairs: DataFrame) -> DataFrame:
@@ -256,7 +288,11 @@ def candidate_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def verified(rows: DataFrame, pairs: DataFrame, members: DataFrame) -> DataFrame:
     """The pairs ``a, b`` of set ids whose whole sets have at least 75 % of their union in common."""
-    pairs = reuse_checkpointed(pairs)
+    x = members.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("pa"))
+    y = members.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("pb"))
+    fits = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
+    near = pairs.join(x, "a").join(y, "b").where(fits).where(similar_parity(F.col("pa"), F.col("pb"), F.col("na"), F.col("nb")))
+    pairs = reuse_checkpointed(near.select("a", "b"))
     ends = pairs.select(F.col("a").alias("set_id")).union(pairs.select(F.col("b").alias("set_id"))).distinct()
     sets = candidate_sets(rows, members.join(ends, "set_id").select("doc_id", "set_id")).dropDuplicates(["set_id"])
     sets = reuse_checkpointed(sets)
@@ -269,7 +305,11 @@ def verified(rows: DataFrame, pairs: DataFrame, members: DataFrame) -> DataFrame
 
 def set_components(rows: DataFrame, profile: DataFrame) -> DataFrame:
     """``set_id, component`` (a set id) of the sets that link with another one."""
-    members = reuse_checkpointed(profile.where("n > 0").groupBy("set_id", "grp").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")))
+    members = reuse_checkpointed(
+        profile.where("n > 0").groupBy("set_id", "grp").agg(
+            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits", ignorenulls=True).alias("bits")
+        )
+    )
     shared = reuse_checkpointed(shared_rows(profile))
     lead = members.groupBy("grp").agg(F.min("set_id").alias("lead"))
     crowd = members.join(lead, "grp")
@@ -286,44 +326,61 @@ def set_components(rows: DataFrame, profile: DataFrame) -> DataFrame:
     placed, groups, left = unsettled(shared, members, first)
     # More stars around other pivots join what one pivot leaves apart, before pairs are formed.
     for seed in range(1, STAR_ROUNDS):
-        order = Window.partitionBy("shingle").orderBy(F.xxhash64("grp", F.lit(seed)), "grp")
-        order = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        near = left.select("grp", "n", "lo", "hi", F.first(F.struct("grp", "n", "lo", "hi")).over(order).alias("p"))
-        near = near.where((F.col("p.grp") != F.col("grp")) & ((F.col("p.lo") != F.col("lo")) | (F.col("p.hi") != F.col("hi"))))
-        near = likely(near.select(F.col("p.grp").alias("a"), F.col("grp").alias("b"), F.col("p.n").alias("na"), F.col("n").alias("nb")))
+        near = likely(random_star(left, seed))
         more = verified(rows, set_pairs(near.select(F.col("a").alias("ga"), F.col("b").alias("gb")), placed), members)
         first = reuse_checkpointed(connected_components(hubs(first).union(more)))
-        placed, groups, left = unsettled(shared, members, first)
+        placed, groups, left = unsettled(left, members, first)
     x, y = left.alias("x"), left.alias("y")
+    # The first shingle that a linked pair shares has the whole overlap at or behind its position in both sets.
+    needed = PERCENT * (F.col("x.n") + F.col("y.n"))
     cross = (
         x.join(y, "shingle")
         .where((F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.grp") < F.col("y.grp"))))
         .where(100 * F.col("x.n") >= PERCENT * F.col("y.n"))
+        .where(((100 + PERCENT) * (F.col("x.n") - F.col("x.pos")) >= needed) & ((100 + PERCENT) * (F.col("y.n") - F.col("y.pos")) >= needed))
         .where((F.col("x.lo") != F.col("y.lo")) | (F.col("x.hi") != F.col("y.hi")) | (F.col("x.lo") != F.col("x.hi")))
-        .select(F.col("x.grp").alias("a"), F.col("y.grp").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
+        .select(F.col("x.grp").alias("ga"), F.col("y.grp").alias("gb"))
+        .distinct()
     )
-    cross = likely(cross).select(F.col("a").alias("ga"), F.col("b").alias("gb"))
     within = groups.where("lo != hi").select(F.col("grp").alias("ga"), F.col("grp").alias("gb"))
     more = verified(rows, set_pairs(cross.union(within), placed), members)
     return connected_components(hubs(first).union(more)).select(F.col("node").alias("set_id"), "component")
 
 
+def random_star(left: DataFrame, seed: int) -> DataFrame:
+    """Every group with the first one, in a random order, on each of its shingles; on ranked shingles with that of its part, and these with each other."""
+
+    def first(rows, *keys):
+        order = Window.partitionBy(*keys).orderBy(F.xxhash64("grp", F.lit(seed)), "grp")
+        order = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return rows.withColumn("p", F.first(F.struct("grp", "n", "lo", "hi")).over(order))
+
+    salt = F.when(F.col("hot"), F.pmod("grp", F.lit(SALTS))).otherwise(0).cast("int")
+    near = first(left.withColumn("salt", salt), "shingle", "salt")
+    tops = first(near.where("hot AND p.grp = grp").drop("p"), "shingle")
+    near = near.unionByName(tops).where((F.col("p.grp") != F.col("grp")) & ((F.col("p.lo") != F.col("lo")) | (F.col("p.hi") != F.col("hi"))))
+    return near.select(F.col("p.grp").alias("a"), F.col("grp").alias("b"), F.col("p.n").alias("na"), F.col("n").alias("nb"))
+
+
 def hubs(components: DataFrame) -> DataFrame:
     """The components' edges to their smallest nodes."""
     return components.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
 def unsettled(shared: DataFrame, members: DataFrame, components: DataFrame):
-    """(sets with their component, components of each group, the shared rows of shingles with several components)."""
+    """(sets with their component, components of each group, the shared rows of shingles with several components).
+
+    Components only grow, so shingles settled once stay out of later rounds.
+    """
     placed = reuse_checkpointed(
         members.join(components.withColumnRenamed("node", "set_id"), "set_id", "left").select(
             "set_id", "grp", "n", "doc_id", F.coalesce("component", "set_id").alias("component")
         )
     )
     groups = placed.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    seen = shared.join(groups, "grp")
+    seen = shared.select("shingle", "hot", "grp", "n", "pos").join(groups, "grp")
     mixed = seen.groupBy("shingle").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least != most").select("shingle")
-    return placed, groups, reuse_checkpointed(seen.join(mixed, "shingle").select("shingle", "grp", "n", "lo", "hi"))
+    return placed, groups, reuse_checkpointed(seen.join(mixed, "shingle").select("shingle", "hot", "grp", "n", "pos", "lo", "hi"))
 
 
 def set_pairs(group_pairs: DataFrame, placed: DataFrame) -> DataFrame:
