@@ -54,6 +54,7 @@ FLUSH_SHINGLES = 1 << 20
 SLOT_BITS = 22
 SALTS = 64
 STAR_ROUNDS = 2
+JOIN_LONGS = 8  # parities up to this size are carried by the rows of the pair join; longer ones are compared after it
 CANDIDATE_BITS = 24  # size of the candidate bitmap: 2 MB whatever the input
 
 
@@ -330,6 +331,7 @@ def set_components(rows: DataFrame, profile: DataFrame) -> DataFrame:
         more = verified(rows, set_pairs(near.select(F.col("a").alias("ga"), F.col("b").alias("gb")), placed), members)
         first = reuse_checkpointed(connected_components(hubs(first).union(more)))
         placed, groups, left = unsettled(left, members, first)
+    left = left.join(groups.select("grp", "bits"), "grp")
     x, y = left.alias("x"), left.alias("y")
     # The first shingle that a linked pair shares has the whole overlap at or behind its position in both sets.
     needed = PERCENT * (F.col("x.n") + F.col("y.n"))
@@ -339,6 +341,8 @@ def set_components(rows: DataFrame, profile: DataFrame) -> DataFrame:
         .where(100 * F.col("x.n") >= PERCENT * F.col("y.n"))
         .where(((100 + PERCENT) * (F.col("x.n") - F.col("x.pos")) >= needed) & ((100 + PERCENT) * (F.col("y.n") - F.col("y.pos")) >= needed))
         .where((F.col("x.lo") != F.col("y.lo")) | (F.col("x.hi") != F.col("y.hi")) | (F.col("x.lo") != F.col("x.hi")))
+        # Groups of several sets, and large ones, carry no parity: their pairs are compared after the join.
+        .where(F.coalesce(similar_parity(F.col("x.bits"), F.col("y.bits"), F.col("x.n"), F.col("y.n")), F.lit(True)))
         .select(F.col("x.grp").alias("ga"), F.col("y.grp").alias("gb"))
         .distinct()
     )
@@ -374,11 +378,16 @@ def unsettled(shared: DataFrame, members: DataFrame, components: DataFrame):
     """
     placed = reuse_checkpointed(
         members.join(components.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-            "set_id", "grp", "n", "doc_id", F.coalesce("component", "set_id").alias("component")
+            "set_id", "grp", "n", "doc_id", "bits", F.coalesce("component", "set_id").alias("component")
         )
     )
-    groups = placed.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    seen = shared.select("shingle", "hot", "grp", "n", "pos").join(groups, "grp")
+    # 64 bits tell components apart as they do groups, in half the room.
+    mark = F.xxhash64("component")
+    groups = placed.groupBy("grp").agg(
+        F.min(mark).alias("lo"), F.max(mark).alias("hi"),
+        F.when(F.count("*") == 1, F.first(F.when(F.size("bits") <= JOIN_LONGS, F.col("bits")))).alias("bits"),
+    )
+    seen = shared.select("shingle", "hot", "grp", "n", "pos").join(groups.select("grp", "lo", "hi"), "grp")
     mixed = seen.groupBy("shingle").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least != most").select("shingle")
     return placed, groups, reuse_checkpointed(seen.join(mixed, "shingle").select("shingle", "hot", "grp", "n", "pos", "lo", "hi"))
 
