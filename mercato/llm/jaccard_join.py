@@ -13,7 +13,7 @@ Two sets link when their Jaccard similarity is at least 75 %.
 3. Group rows meet on prefix shingles.  First each group is paired with the
    smallest group of every shingle it shares (a star, linear in the rows) and
    those pairs are verified; their links give preliminary components.  A second
-   star around random groups joins more of them.
+   star around the groups that have a shingle earliest joins more of them.
 4. Only pairs of groups in different components can still add anything: shingles
    whose groups are all in one component are dropped, and the rest is joined
    with length and positional filters inside the join: what a linked pair shares
@@ -327,19 +327,16 @@ def set_components(rows: DataFrame, profile: DataFrame) -> DataFrame:
     placed, groups, left = unsettled(shared, members, first)
     # More stars around other pivots join what one pivot leaves apart, before pairs are formed.
     for seed in range(1, STAR_ROUNDS):
-        near = likely(random_star(left, seed))
-        more = verified(rows, set_pairs(near.select(F.col("a").alias("ga"), F.col("b").alias("gb")), placed), members)
+        more = verified(rows, set_pairs(early_star(left, seed), placed), members)
         first = reuse_checkpointed(connected_components(hubs(first).union(more)))
         placed, groups, left = unsettled(left, members, first)
     left = left.join(groups.select("grp", "bits"), "grp")
     x, y = left.alias("x"), left.alias("y")
-    # The first shingle that a linked pair shares has the whole overlap at or behind its position in both sets.
-    needed = PERCENT * (F.col("x.n") + F.col("y.n"))
     cross = (
         x.join(y, "shingle")
         .where((F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.grp") < F.col("y.grp"))))
         .where(100 * F.col("x.n") >= PERCENT * F.col("y.n"))
-        .where(((100 + PERCENT) * (F.col("x.n") - F.col("x.pos")) >= needed) & ((100 + PERCENT) * (F.col("y.n") - F.col("y.pos")) >= needed))
+        .where(may_be_first("x", "y"))
         .where((F.col("x.lo") != F.col("y.lo")) | (F.col("x.hi") != F.col("y.hi")) | (F.col("x.lo") != F.col("x.hi")))
         # Groups of several sets, and large ones, carry no parity: their pairs are compared after the join.
         .where(F.coalesce(similar_parity(F.col("x.bits"), F.col("y.bits"), F.col("x.n"), F.col("y.n")), F.lit(True)))
@@ -351,19 +348,30 @@ def set_components(rows: DataFrame, profile: DataFrame) -> DataFrame:
     return connected_components(hubs(first).union(more)).select(F.col("node").alias("set_id"), "component")
 
 
-def random_star(left: DataFrame, seed: int) -> DataFrame:
-    """Every group with the first one, in a random order, on each of its shingles; on ranked shingles with that of its part, and these with each other."""
+def may_be_first(x: str, y: str):
+    """The first shingle that a linked pair shares has the whole overlap at or behind its position in both sets."""
+    needed = PERCENT * (F.col(f"{x}.n") + F.col(f"{y}.n"))
+    return F.least(*[(100 + PERCENT) * (F.col(f"{r}.n") - F.col(f"{r}.pos")) for r in (x, y)]) >= needed
+
+
+def early_star(left: DataFrame, seed: int) -> DataFrame:
+    """Group pairs ``ga, gb``: every group, on each of its shingles, with the one that has it earliest; on ranked shingles with that of its part, and these with each other.
+
+    A group with few rarer shingles of its own is near the middle of its cluster, so many others link with it.
+    Groups meet different partners on different shingles, so common shingles are not counted here.
+    """
 
     def first(rows, *keys):
-        order = Window.partitionBy(*keys).orderBy(F.xxhash64("grp", F.lit(seed)), "grp")
+        order = Window.partitionBy(*keys).orderBy("pos", F.xxhash64("grp", F.lit(seed)), "grp")
         order = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return rows.withColumn("p", F.first(F.struct("grp", "n", "lo", "hi")).over(order))
+        return rows.withColumn("p", F.first(F.struct("grp", "n", "pos", "lo", "hi")).over(order))
 
     salt = F.when(F.col("hot"), F.pmod("grp", F.lit(SALTS))).otherwise(0).cast("int")
     near = first(left.withColumn("salt", salt), "shingle", "salt")
     tops = first(near.where("hot AND p.grp = grp").drop("p"), "shingle")
     near = near.unionByName(tops).where((F.col("p.grp") != F.col("grp")) & ((F.col("p.lo") != F.col("lo")) | (F.col("p.hi") != F.col("hi"))))
-    return near.select(F.col("p.grp").alias("a"), F.col("grp").alias("b"), F.col("p.n").alias("na"), F.col("n").alias("nb"))
+    near = near.select("p", F.struct("grp", "n", "pos").alias("g")).where(100 * F.least("p.n", "g.n") >= PERCENT * F.greatest("p.n", "g.n"))
+    return near.where(may_be_first("p", "g")).select(F.col("p.grp").alias("ga"), F.col("g.grp").alias("gb")).distinct()
 
 
 def hubs(components: DataFrame) -> DataFrame:
