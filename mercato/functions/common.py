@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.session import ensure_checkpoint_dir
 
+_writes_lock = threading.Lock()
+_writes = {"open": 0, "before": "false"}
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -77,10 +82,32 @@ def reuse_checkpointed(df: DataFrame) -> DataFrame:
     write.)
     """
     path = f"{materialized_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    with _shuffles_dropped(df.sparkSession):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Let Spark delete the shuffle files of a write when it ends: the written rows take their place.
+
+    The session's own setting comes back after the last of the writes that run side by side.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    with _writes_lock:
+        if not _writes["open"]:
+            _writes["before"] = spark.conf.get(key)
+            spark.conf.set(key, "true")
+        _writes["open"] += 1
+    try:
+        yield
+    finally:
+        with _writes_lock:
+            _writes["open"] -= 1
+            if not _writes["open"]:
+                spark.conf.set(key, _writes["before"])
+
+
 def materialized_folder(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + "/mercato-materialized"
 
