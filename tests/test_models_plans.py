@@ -111,3 +111,23 @@ def test_cohort_matrix_matches_pandas_pivot(spark, queries):
     pd.testing.assert_frame_equal(got_cells, dense.astype(float), check_names=False, check_column_type=False)
     want.columns = [f"p{c}" for c in want.columns]
     pd.testing.assert_frame_equal(got.astype(float), want.astype(float), check_names=False)
+
+
+def test_forests_keep_reached_nodes_and_stay_the_same(spark):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    x = spark.range(400).select(
+        F.col("id").alias("order_id"),
+        *[(F.col("id") * (7 + i) % (11 + 3 * i)).cast("double").alias(f"x{i}") for i in range(4)],
+        (F.col("id") * 5 % 13 > 8).cast("int").alias("is_late"),
+        (F.col("id") % 5).cast("double").alias("review_score"),
+    )
+    train, cols = mo.materialize(x, "order_id", 2), [f"x{i}" for i in range(4)]
+    delay = mo.fit_delay_model(train, cols, num_trees=5, max_depth=4).model.stages[-1]
+    review = mo.fit_review_model(train, cols, num_trees=5, max_depth=4).forest.model.stages[-1]
+    assert delay.getCacheNodeIds() and review.getCacheNodeIds()
+    weighted = VectorAssembler(inputCols=cols, outputCol="features").transform(fe.with_class_weights(train, "is_late", "weight"))
+    plain = RandomForestClassifier(labelCol="is_late", weightCol="weight", numTrees=5, maxDepth=4, seed=mo.SEED, featureSubsetStrategy="sqrt")
+    trees = lambda m: m.toDebugString.split("\n", 1)[1]
+    assert trees(plain.fit(weighted)) == trees(delay)
