@@ -86,10 +86,11 @@ def joined(has: Mapping[str, Column]) -> Column:
 def inferred_schema(rows: DataFrame) -> DataFrame:
     """``column_name, inferred_type, rows, nulls`` of text columns, by one aggregate over the rows."""
     kinds = ("integer", "decimal", "timestamp", "text")
+    # The types are a step of their own: inside the counts a text would be matched again for each kind.
+    types = rows.select(*[value_type(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(rows.columns)])
     aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(rows.columns):
-        t = value_type(F.col(f"`{c}`"))
-        aggs += [F.count_if(t == k).alias(f"_{k}{i}") for k in kinds]
+    for i in range(len(rows.columns)):
+        aggs += [F.count_if(F.col(f"_{i}") == k).alias(f"_{k}{i}") for k in kinds]
     cells = []
     for i, c in enumerate(rows.columns):
         n = {k: F.col(f"_{k}{i}") for k in kinds}
@@ -102,7 +103,7 @@ def inferred_schema(rows: DataFrame) -> DataFrame:
                 (F.col("_rows") - filled).alias("nulls"),
             )
         )
-    return rows.agg(*aggs).select(F.inline(F.array(*cells)))
+    return types.agg(*aggs).select(F.inline(F.array(*cells)))
 
 
 def typed(rows: DataFrame, types: Mapping[str, str]) -> DataFrame:

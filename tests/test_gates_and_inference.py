@@ -134,3 +134,13 @@ def test_sketched_segments_are_near_the_exact_ones(spark, queries):
     assert off <= 3 * (1 + 2 * sk.rank_error() * len(exact))
     for r in queries["customer_value_segments_approx"](spark, SF_SMALL).collect():
         assert r["rank_error"] <= r["bound"]
+
+
+def test_types_are_worked_out_once_a_value(spark):
+    from mercato.sources.inference import inferred_schema
+
+    rows = spark.createDataFrame([("1", "x"), ("2.5", None), (" ", "2020-01-01")], "a string, b string")
+    schema = inferred_schema(rows)
+    plan = schema._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 2 * 3  # three patterns a column, not three for each kind
+    assert {tuple(r) for r in schema.collect()} == {("a", "decimal", 3, 1), ("b", "text", 3, 1)}
