@@ -10,8 +10,8 @@ hash buckets of ``order_id``, and a batch costs what its own rows touch:
    ``customer_id``; only the buckets of the batch's keys are read.
 2. The deltas are merged into the touched order buckets, which are written as a
    new version.  A written row also has what its order counted for before.
-3. The months get the difference between what the touched orders count for now
-   and before; months that no order touches keep their sums.  New (month, state)
+3. The months get the difference between what the orders of the written buckets count for
+   now and before (nothing for an order without a delta); other months keep their sums.  New (month, state)
    pairs of persons are added to distinct sketches, which merge over any period.
 4. A manifest of the current version of every bucket, and of the last epoch of every
    stream, commits the batch.  An epoch that is retried after its commit is left
@@ -248,20 +248,20 @@ class RevenueRefresh:
                 deltas = self._stored(deltas, m)
             buckets = self._buckets_of(deltas, "order_id")
             self._write("orders", self.merge(deltas, self._read("orders", old, buckets)), "order_id", buckets, m)
-            touched = self._read("orders", m, buckets).join(deltas.select("order_id"), "order_id", "left_semi")
-            self._refresh_months(touched, old, m)
+            # A row that no delta met counts for what it did before, so it adds nothing and needs no join to be left out.
+            self._refresh_months(self._read("orders", m, buckets), old, m)
             self._commit(m)
 
-    def _refresh_months(self, touched: DataFrame, old: Manifest, m: Manifest) -> None:
+    def _refresh_months(self, written: DataFrame, old: Manifest, m: Manifest) -> None:
         row = F.struct(*self.schemas["orders"].names)
-        now = touched.where(counts(row)).select("order_month", revenue_of(row).cast("decimal(38,2)").alias("revenue"), F.lit(1).cast("long").alias("orders"))
-        was = touched.where(F.col("was_month").isNotNull()).select(
+        now = written.where(counts(row)).select("order_month", revenue_of(row).cast("decimal(38,2)").alias("revenue"), F.lit(1).cast("long").alias("orders"))
+        was = written.where(F.col("was_month").isNotNull()).select(
             F.col("was_month").alias("order_month"), (-F.col("was_revenue")).cast("decimal(38,2)").alias("revenue"), F.lit(-1).cast("long").alias("orders")
         )
         months = self._read("months", old).unionByName(now).unionByName(was).groupBy("order_month")
         months = months.agg(F.sum("revenue").cast("decimal(38,2)").alias("revenue"), F.sum("orders").alias("orders"))
         months.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/months/v={m.version}")  # one row a month
-        new = touched.where(counts(row) & ~F.col("was_month").eqNullSafe(F.col("order_month")) & F.col("person").isNotNull())
+        new = written.where(counts(row) & ~F.col("was_month").eqNullSafe(F.col("order_month")) & F.col("person").isNotNull())
         sketches = new.groupBy("order_month", "state").agg(F.hll_sketch_agg(F.col("person").cast("string")).alias("persons"))
         persons = self._read("persons", old).unionByName(sketches).groupBy("order_month", "state").agg(F.hll_union_agg("persons").alias("persons"))
         persons.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/persons/v={m.version}")  # one row a month and state

@@ -130,3 +130,27 @@ def test_a_batch_reads_its_buckets_only(spark):
     # The landed batches themselves are not kept.
     fs, p = refresh._fs(refresh.root)
     assert {s.getPath().getName() for s in fs.listStatus(p)} <= {"orders", "customers", "months", "persons", "manifest", "deltas"}
+
+
+def test_months_are_refreshed_without_a_join(spark, monkeypatch):
+    refresh, plans = new_refresh(spark, buckets=1), []
+    months = refresh._refresh_months
+
+    def refreshed(written, old, m):
+        plans.append(written._jdf.queryExecution().optimizedPlan().toString())
+        months(written, old, m)
+
+    monkeypatch.setattr(refresh, "_refresh_months", refreshed)
+    rows = rows_of(random.Random(3))
+    for name in ("payments", "reviews", "customers", "orders"):
+        refresh.apply(name, spark.createDataFrame(rows[name], SCHEMAS[name]), 0)
+    # A second payment of one order: the bucket's other orders are written again and must add nothing.
+    refresh.apply("payments", spark.createDataFrame([(4, Decimal("7.25"))], SCHEMAS["payments"]), 1)
+    assert len(plans) == 5 and not any("Join" in p for p in plans)
+    rows["payments"].append((4, Decimal("7.25")))
+    batch = frames(spark, rows)
+    want = {r["order_month"]: r["revenue"] for r in marts.monthly_revenue(sales_fact(batch)).collect()}
+    assert mart_of(refresh) == want
+    by_state = {r["customer_state"]: r["persons"] for r in refresh.persons_by_state().collect() if r["customer_state"]}
+    fact = sales_fact(batch).where(F.col("customer_state").isNotNull()).groupBy("customer_state")
+    assert by_state == {r[0]: r[1] for r in fact.agg(F.countDistinct("customer_unique_id")).collect()}
