@@ -140,7 +140,7 @@ def with_stratified_split(df: DataFrame, label: str, key: str = "order_id", test
 
 def split_balance(df: DataFrame, label: str) -> DataFrame:
     """Rows per (split, label): the class balance of each side."""
-    return with_stratified_split(df, label).groupBy("split", label).agg(F.count(F.lit(1)).alias("rows")).orderBy("split", label)
+    return with_stratified_split(df.select("order_id", label), label).groupBy("split", label).agg(F.count(F.lit(1)).alias("rows")).orderBy("split", label)
 
 
 def class_weights(train: DataFrame, label: str) -> DataFrame:

@@ -89,7 +89,9 @@ def order_features_frame(spark, d):
 
 
 def delay_test_scored(spark, d):
-    x = fe.with_stratified_split(fe.delay_model_input(order_features_frame(spark, d)), "is_late").where(F.col("split") == "test")
+    # The split ranks and writes its rows: only the columns of the rule go through it.
+    rows = fe.delay_model_input(order_features_frame(spark, d)).select("order_id", "purchase_month", "estimated_delivery_days", "is_late")
+    x = fe.with_stratified_split(rows, "is_late").where(F.col("split") == "test")
     peak = F.col("purchase_month").isin(2, 3, 11)
     return x.withColumn("prediction", peak.cast("int")).withColumn(
         "score", peak.cast("double") + F.col("estimated_delivery_days") / 1000.0
@@ -151,7 +153,8 @@ def q_split_balance(spark, d):
     ),
 )
 def q_class_weights(spark, d):
-    x = fe.with_stratified_split(fe.delay_model_input(order_features_frame(spark, d)), "is_late").where(F.col("split") == "train")
+    rows = fe.delay_model_input(order_features_frame(spark, d)).select("order_id", "is_late")
+    x = fe.with_stratified_split(rows, "is_late").where(F.col("split") == "train")
     return fe.class_weights(x, "is_late").withColumn("weight", F.round("weight", 6))
 
 

@@ -131,3 +131,14 @@ def test_forests_keep_reached_nodes_and_stay_the_same(spark):
     plain = RandomForestClassifier(labelCol="is_late", weightCol="weight", numTrees=5, maxDepth=4, seed=mo.SEED, featureSubsetStrategy="sqrt")
     trees = lambda m: m.toDebugString.split("\n", 1)[1]
     assert trees(plain.fit(weighted)) == trees(delay)
+
+
+def test_split_of_the_rule_carries_its_columns_only(spark, queries, monkeypatch):
+    from mercato.plans import q_features
+
+    seen = []
+    split = q_features.fe.with_stratified_split
+    monkeypatch.setattr(q_features.fe, "with_stratified_split", lambda df, *a, **k: seen.append(df.columns) or split(df, *a, **k))
+    queries["confusion_matrix"](spark, SF_MID)
+    queries["train_test_split_balance"](spark, SF_MID)
+    assert seen == [["order_id", "purchase_month", "estimated_delivery_days", "is_late"], ["order_id", "is_late"]]
