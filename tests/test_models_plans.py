@@ -133,6 +133,25 @@ def test_forests_keep_reached_nodes_and_stay_the_same(spark):
     assert trees(plain.fit(weighted)) == trees(delay)
 
 
+def test_training_rows_lie_beside_their_like(spark):
+    rows = spark.range(0, 3000, 1, 7).select(
+        F.col("id").alias("order_id"), (F.col("id") * 7 % 5).alias("a"), (F.col("id") * 13 % 11).cast("double").alias("b")
+    )
+    once = mo.materialize(rows, "order_id", 3, near=["a", "b"])
+    again = mo.materialize(rows.repartition(5, "b"), "order_id", 3, near=["a", "b"])
+    listed = lambda df: sorted([tuple(r) for r in g] for g in _by_file(df))
+    assert listed(once) == listed(again)  # whatever order the rows came in
+    assert all([r[1:] + r[:1] for r in g] == sorted(r[1:] + r[:1] for r in g) for g in listed(once))
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def _by_file(df):
+    """Rows of each written file in their order."""
+    import pyarrow.parquet as pq
+
+    return [[tuple(r.values()) for r in pq.read_table(f.removeprefix("file:")).to_pylist()] for f in df.inputFiles()]
+
+
 def test_split_of_the_rule_carries_its_columns_only(spark, queries, monkeypatch):
     from mercato.plans import q_features
 
