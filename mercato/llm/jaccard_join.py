@@ -54,7 +54,7 @@ FLUSH_SHINGLES = 1 << 20
 SLOT_BITS = 22
 SALTS = 64
 STAR_ROUNDS = 2
-JOIN_LONGS = 8  # parities up to this size are carried by the rows of the pair join; longer ones are compared after it
+JOIN_LONGS = 64  # parities up to this size are carried by the rows of the pair join; longer ones are compared after it
 CANDIDATE_BITS = 24  # size of the candidate bitmap: 2 MB whatever the input
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import random
 
-from mercato.llm import line_dedup
+from mercato.llm import jaccard_join, line_dedup
+from tests.llm.helpers import brute_components
 
 
 def some_docs(spark, texts):
@@ -26,3 +27,19 @@ def test_long_lines_that_differ_do_not_pair(spark, monkeypatch):
     d = line_dedup.dedup_documents(some_docs(spark, [" ".join(w) for w in [*lines, near]]), line_dedup.WORDS)
     assert [r["doc_id"] for r in d.where("n_removed > 0").collect()] == [30]
     assert sum(made) < 10
+
+
+def test_large_sets_that_differ_do_not_pair(spark, monkeypatch):
+    shared = [f"s{i}" for i in range(300)]
+    texts = [" ".join([*(f"d{k}w{i}" for i in range(700)), *shared]) for k in range(6)]
+    texts.append(" ".join([*texts[0].split()[:-50], *(f"x{i}" for i in range(50))]))
+    made, real = [], jaccard_join.set_pairs
+
+    def counted(group_pairs, placed):
+        made.append(group_pairs.where("ga != gb").count())
+        return real(group_pairs, placed)
+
+    monkeypatch.setattr(jaccard_join, "set_pairs", counted)
+    found = jaccard_join.linked_documents(some_docs(spark, texts)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == brute_components(dict(enumerate(texts)))
+    assert made[-1] == 0
