@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.functions.common import reuse_checkpointed
+from mercato.functions.common import reuse_checkpointed, settled
 from mercato.llm.components import connected_components
 from mercato.llm.text import WordHashes, distinct, shingle_hashes, text_words
 
@@ -289,6 +289,10 @@ def candidate_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def verified(rows: DataFrame, pairs: DataFrame, members: DataFrame) -> DataFrame:
     """The pairs ``a, b`` of set ids whose whole sets have at least 75 % of their union in common."""
+    return settled(lambda: linked_pairs(rows, pairs, members))
+
+
+def linked_pairs(rows: DataFrame, pairs: DataFrame, members: DataFrame) -> DataFrame:
     x = members.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("pa"))
     y = members.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("pb"))
     fits = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
@@ -301,7 +305,7 @@ def verified(rows: DataFrame, pairs: DataFrame, members: DataFrame) -> DataFrame
     a = sets.join(pairs.select(F.col("a").alias("set_id")).distinct(), "set_id", "left_semi").select(F.col("set_id").alias("a"), F.col("shingles").alias("sa"))
     both = F.size(F.array_intersect("sa", "sb"))
     linked = 100 * both >= PERCENT * (F.size("sa") + F.size("sb") - both)
-    return reuse_checkpointed(pairs.join(b, "b").join(a, "a").where(linked).select("a", "b"))
+    return pairs.join(b, "b").join(a, "a").where(linked).select("a", "b")
 
 
 def set_components(rows: DataFrame, profile: DataFrame) -> DataFrame:
@@ -323,12 +327,12 @@ def set_components(rows: DataFrame, profile: DataFrame) -> DataFrame:
         .union(crowd.where("set_id != lead").select(F.col("lead").alias("a"), F.col("set_id").alias("b")))
         .distinct()
     )
-    first = reuse_checkpointed(connected_components(verified(rows, stars, members)))
+    first = settled(lambda: connected_components(verified(rows, stars, members)))
     placed, groups, left = unsettled(shared, members, first)
     # More stars around other pivots join what one pivot leaves apart, before pairs are formed.
     for seed in range(1, STAR_ROUNDS):
         more = verified(rows, set_pairs(early_star(left, seed), placed), members)
-        first = reuse_checkpointed(connected_components(hubs(first).union(more)))
+        first = settled(lambda: connected_components(hubs(first).union(more)))
         placed, groups, left = unsettled(left, members, first)
     left = left.join(groups.select("grp", "bits"), "grp")
     x, y = left.alias("x"), left.alias("y")
@@ -416,7 +420,7 @@ def placed_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(the documents' profiles, ``set_id, component, component_id`` of all sets with a shingle)."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     profile = reuse_checkpointed(profiles(rows.withColumn("row", F.xxhash64("text")), frequent_shingles(rows)))
-    components = set_components(rows, profile)
+    components = settled(lambda: set_components(rows, profile))
     classes = profile.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     classes = classes.join(components, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -435,11 +439,14 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Rows without a shingle link with nothing: one row of each doc_id and text is kept.
     """
-    profile, ids = placed_rows(docs)
-    key = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    linked = profile.join(ids, "set_id").groupBy("component").agg(F.min(key).alias("k"))
-    chosen = linked.select(F.col("k.doc_id").alias("_id"), F.col("k.row").alias("_row"))
-    chosen = chosen.union(profile.where("n = 0").select("doc_id", "row").distinct())
+    def chosen_rows() -> DataFrame:
+        profile, ids = placed_rows(docs)
+        key = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+        linked = profile.join(ids, "set_id").groupBy("component").agg(F.min(key).alias("k"))
+        linked = linked.select(F.col("k.doc_id").alias("_id"), F.col("k.row").alias("_row"))
+        return linked.union(profile.where("n = 0").select("doc_id", "row").distinct())
+
+    chosen = settled(chosen_rows)
     keyed = docs.withColumns({"_key_id": F.col("doc_id").cast("long"), "_key_row": F.xxhash64(F.col("text").cast("string"))})
     kept = keyed.join(chosen, F.col("_key_id").eqNullSafe(F.col("_id")) & (F.col("_key_row") == F.col("_row")), "left_semi")
     return kept.dropDuplicates(["_key_id", "_key_row"]).select(*docs.columns)

@@ -1,17 +1,66 @@
-"""What the joins of op5 and op8 let through."""
+"""What the joins of op5 and op8 let through, and the tables that they leave behind."""
 
 from __future__ import annotations
 
+import os
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
+from mercato.functions import common
 from mercato.llm import jaccard_join, line_dedup
 from tests.llm.helpers import brute_components
 
 
+def folders(spark):
+    at = common.materialized_folder(spark).removeprefix("file:")
+    return set(os.listdir(at)) if os.path.exists(at) else set()
+
+
+def test_settled_keeps_its_result_only(spark):
+    before = folders(spark)
+
+    def inner():
+        return common.reuse_checkpointed(spark.range(10)).where("id > 3")
+
+    def build():
+        a = common.settled(inner)
+        return common.reuse_checkpointed(a.select((F.col("id") * 2).alias("id"))).union(a)
+
+    out = common.settled(build)
+    assert len(folders(spark) - before) == 1
+    assert sorted(r["id"] for r in out.collect()) == sorted([*range(4, 10), *range(8, 20, 2)])
+
+
+def test_settled_after_an_error(spark):
+    with pytest.raises(ZeroDivisionError):
+        common.settled(lambda: common.reuse_checkpointed(spark.range(1 // 0)))
+    before = folders(spark)
+    common.reuse_checkpointed(spark.range(3))
+    common.settled(lambda: spark.range(3))
+    assert len(folders(spark) - before) == 2
+
+
 def some_docs(spark, texts):
     return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
 
 
+def test_line_dedup_leaves_one_table(spark):
+    before = folders(spark)
+    d = line_dedup.dedup_documents(some_docs(spark, ["a b c d e f g h", "a b c d e f g h i", "other words of a line"]), line_dedup.WORDS)
+    assert len(folders(spark) - before) == 1
+    assert sorted((r["doc_id"], r["n_removed"]) for r in d.collect()) == [(0, 0), (1, 1), (2, 0)]
+
+
+def test_one_of_each_leaves_one_table(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    before = folders(spark)
+    d = jaccard_join.one_of_each(some_docs(spark, [text, text + " more", "other words of a line here"]))
+    assert len(folders(spark) - before) == 1
+    assert sorted(r["doc_id"] for r in d.collect()) == [0, 2]
+
+
 def test_long_lines_that_differ_do_not_pair(spark, monkeypatch):
     rng = random.Random(5)
     vocabulary = [f"v{i}" for i in range(1500)]
