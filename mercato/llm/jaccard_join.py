@@ -10,7 +10,7 @@ Two sets link when their Jaccard similarity is at least 75 %.
 2. Two linked sets share a shingle of their prefixes of ``n - ceil(0.75 n) + 1``
    shingles.  Documents of equal prefix and size form one group, and only
    groups enter the join.
-3. Group rows meet on prefix shingles.  First each group is paired with the
+3. Group rows meet on prefix shingles, part by part of the shingles.  First each group is paired with the
    smallest group of every shingle it shares (a star, linear in the rows) and
    those pairs are verified; their links give preliminary components.  A second
    star around the groups that have a shingle earliest joins more of them.
@@ -35,6 +35,7 @@ extra columns are ignored; an empty table returns no rows.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -53,6 +54,7 @@ HOT_COUNT = 8
 FLUSH_SHINGLES = 1 << 20
 SLOT_BITS = 22
 SALTS = 64
+SHARES = 4  # parts of the shingles whose rows are shuffled one after another: only one part's are on disk at a time
 STAR_ROUNDS = 2
 JOIN_LONGS = 64  # parities up to this size are carried by the rows of the pair join; longer ones are compared after it
 CANDIDATE_BITS = 24  # size of the candidate bitmap: 2 MB whatever the input
@@ -196,13 +198,19 @@ def profiles(rows: DataFrame, ranked: np.ndarray) -> DataFrame:
     return rows.mapInArrow(run, PROFILE)
 
 
-def shared_rows(profile: DataFrame) -> DataFrame:
-    """``shingle, grp, n, pos, pivot, pivot_n``: group rows on shingles that several groups share.
+def shared_rows(profile: DataFrame) -> list[DataFrame]:
+    """``shingle, hot, grp, n, pos, pivot, pivot_n``, share by share: group rows on shingles that several groups share."""
+    return [shared_share(profile, i) for i in range(SHARES)]
+
+
+def shared_share(profile: DataFrame, share: int) -> DataFrame:
+    """The rows of one of ``SHARES`` parts of the shingles.
 
     The pivot is the smallest group of the shingle.  Ranked shingles are first
     reduced within ``SALTS`` parts, so a very frequent one is no single task's.
     """
     rows = profile.where(F.col("prefix").isNotNull()).select("grp", "n", "cold", F.posexplode("prefix").alias("pos", "shingle"))
+    rows = rows.where(F.pmod("shingle", F.lit(SHARES)) == share)
     salt = F.when(F.col("pos") >= F.col("cold"), F.pmod("grp", F.lit(SALTS))).otherwise(0).cast("int")
     rows = rows.select("shingle", salt.alias("salt"), "grp", F.col("n").cast("int").alias("n"), F.col("pos"), (F.col("pos") >= F.col("cold")).alias("hot"))
     part = Window.partitionBy("shingle", "salt").orderBy("n", "grp")
@@ -308,14 +316,16 @@ def linked_pairs(rows: DataFrame, pairs: DataFrame, members: DataFrame) -> DataF
     return pairs.join(b, "b").join(a, "a").where(linked).select("a", "b")
 
 
-def set_components(rows: DataFrame, profile: DataFrame) -> DataFrame:
-    """``set_id, component`` (a set id) of the sets that link with another one."""
-    members = reuse_checkpointed(
-        profile.where("n > 0").groupBy("set_id", "grp").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits", ignorenulls=True).alias("bits")
-        )
+def sets_and_rows(profile: DataFrame) -> tuple[DataFrame, ...]:
+    """(the sets with their group, least document, size and parity, the shares of ``shared_rows``)."""
+    members = profile.where("n > 0").groupBy("set_id", "grp").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits", ignorenulls=True).alias("bits")
     )
-    shared = reuse_checkpointed(shared_rows(profile))
+    return members, *shared_rows(profile)
+
+
+def set_components(rows: DataFrame, members: DataFrame, shared: DataFrame) -> DataFrame:
+    """``set_id, component`` (a set id) of the sets that link with another one."""
     lead = members.groupBy("grp").agg(F.min("set_id").alias("lead"))
     crowd = members.join(lead, "grp")
     # Star: pivots' leading sets with all members, and each group's leading set with its members.
@@ -419,8 +429,14 @@ def set_pairs(group_pairs: DataFrame, placed: DataFrame) -> DataFrame:
 def placed_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(the documents' profiles, ``set_id, component, component_id`` of all sets with a shingle)."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    profile = reuse_checkpointed(profiles(rows.withColumn("row", F.xxhash64("text")), frequent_shingles(rows)))
-    components = settled(lambda: set_components(rows, profile))
+
+    def prepared() -> tuple[DataFrame, ...]:
+        # Prefixes and parities stay on disk no longer than until the rows made of them are written.
+        whole = reuse_checkpointed(profiles(rows.withColumn("row", F.xxhash64("text")), frequent_shingles(rows)))
+        return whole.select("doc_id", "n", "set_id", "row"), *sets_and_rows(whole)
+
+    profile, members, *shares = settled(prepared)
+    components = settled(lambda: set_components(rows, members, functools.reduce(DataFrame.unionByName, shares)))
     classes = profile.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     classes = classes.join(components, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
