@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import contextlib
 import io
+import os
 
 import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import SF_MID, SF_SMALL
+from mercato.functions.common import materialized_folder
 from mercato.functions.ranking import rank_rows
 from mercato.operators import evaluation as ev
 from mercato.operators import features as fe
@@ -133,6 +135,69 @@ def test_forests_keep_reached_nodes_and_stay_the_same(spark):
     assert trees(plain.fit(weighted)) == trees(delay)
 
 
+def _few(spark):
+    rows = spark.range(400).select(
+        F.col("id").alias("order_id"),
+        *[(F.col("id") * (7 + i) % (11 + 3 * i)).cast("double").alias(f"x{i}") for i in range(4)],
+        (F.col("id") * 5 % 13 > 8).cast("int").alias("is_late"),
+        (F.col("id") % 5).cast("double").alias("review_score"),
+    )
+    return mo.materialize(rows, "order_id", 2), [f"x{i}" for i in range(4)]
+
+
+def test_trees_grow_in_groups_whose_rows_fit_the_cache(spark, monkeypatch):
+    assert mo._storage_memory(spark) > 0
+    assert mo.tree_groups(spark, 400, 200) == [200]  # small inputs: the plain forest
+    monkeypatch.setattr(mo, "_storage_memory", lambda s: 10**12)
+    assert mo.tree_groups(spark, 999_999, 200) == [200]
+    assert mo.tree_groups(spark, 10**7, 200) == [25] * 8
+    monkeypatch.setattr(mo, "_storage_memory", lambda s: 10**9)
+    for rows in (300_000, 1_700_000):
+        sizes = mo.tree_groups(spark, rows, 200)
+        assert sum(sizes) == 200 and max(sizes) - min(sizes) <= 1
+        assert rows * (mo.CACHED_ROW_BYTES + max(sizes) * mo.CACHED_TREE_BYTES) <= 10**9
+    assert min(mo.tree_groups(spark, 10**12, 200)) == mo.LEAST_TREES
+    assert mo.tree_groups(spark, 10**12, 3) == [3]
+
+
+def test_groups_of_trees_vote_as_one_forest(spark):
+    train, cols = _few(spark)
+    folder = materialized_folder(spark).removeprefix("file:")
+    kept = set(os.listdir(folder))
+    spark.conf.set("mercato.forest.trees", "2")
+    try:
+        delay = mo.fit_delay_model(train, cols, num_trees=5, max_depth=4)
+        review = mo.fit_review_model(train, cols, num_trees=5, max_depth=4)
+    finally:
+        spark.conf.unset("mercato.forest.trees")
+    assert set(os.listdir(folder)) == kept  # the vectors are gone
+    assert [g.getNumTrees for g in delay.groups] == [g.getNumTrees for g in review.forest.groups] == [2, 2, 1]
+    for fitted in (delay, review.forest):
+        grown = [t.toDebugString.split("\n", 1)[1] for g in fitted.groups for t in g.trees]
+        assert len(set(grown)) == 5  # other draws in each group
+
+    trees = [t for g in delay.groups for t in g.trees]
+    rows = delay.model.stages[0].transform(train).select("order_id", "features").limit(40).collect()
+    got = {r.order_id: r for r in mo.predict_delay(delay, train).collect()}
+    assert len(got) == 400
+    for r in rows:
+        raw = [t.predictRaw(r.features).toArray() for t in trees]
+        late = sum(v[1] / v.sum() for v in raw) / 5
+        assert abs(got[r.order_id].score - late) < 1e-9
+        assert got[r.order_id].prediction == int(late > 0.5)
+
+    means = {r.order_id: r for r in mo.predict_review(review, train).collect()}
+    z = review.forest.model.stages[0].transform(fe.standardize(train, train, cols)).select("order_id", "features").limit(40).collect()
+    trees = [t for g in review.forest.groups for t in g.trees]
+    for r in z:
+        assert abs(means[r.order_id].prediction - sum(t.predict(r.features) for t in trees) / 5) < 1e-9
+
+    for fitted in (delay, review.forest):
+        single = [t.featureImportances.toArray() for g in fitted.groups for t in g.trees]
+        want = dict(zip(cols, sum(single) / 5))
+        assert all(abs(r.importance - want[r.feature]) < 1e-9 for r in fitted.importances(spark).collect())
+
+
 def test_training_rows_lie_beside_their_like(spark):
     rows = spark.range(0, 3000, 1, 7).select(
         F.col("id").alias("order_id"), (F.col("id") * 7 % 5).alias("a"), (F.col("id") * 13 % 11).cast("double").alias("b")
