@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import io
 import os
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -198,6 +199,26 @@ def test_groups_of_trees_vote_as_one_forest(spark):
         assert all(abs(r.importance - want[r.feature]) < 1e-9 for r in fitted.importances(spark).collect())
 
 
+def test_report_builds_its_inputs_from_one_feature_table(spark, queries, monkeypatch):
+    from mercato.plans import q_features, q_models
+
+    alone = [q_models._split(spark, SF_MID, x) for x in ("delay", "review")] + [q_models._scaled(spark, SF_MID)]
+    seen, build = [], q_features.order_features_frame
+    for module in (q_features, q_models):
+        monkeypatch.setattr(module, "order_features_frame", lambda s, d: seen.append(d) or build(s, d))
+    monkeypatch.setattr(q_models, "_CACHE", {})
+    monkeypatch.setattr(q_models, "MANY_ORDERS", 15_000)
+    monkeypatch.setattr(mo, "fit_delay_model", partial(mo.fit_delay_model, num_trees=2, max_depth=2))
+    monkeypatch.setattr(mo, "fit_review_model", partial(mo.fit_review_model, num_trees=2, max_depth=2))
+    monkeypatch.setattr(mo, "fit_kmeans", partial(mo.fit_kmeans, restarts=1))
+    assert queries["model_metrics"](spark, SF_MID).count() > 10
+    assert seen == [SF_MID]
+    shared = [q_models._split(spark, SF_MID, x) for x in ("delay", "review")] + [q_models._scaled(spark, SF_MID)]
+    text = lambda df: sorted(str([f"{v:.6g}" if isinstance(v, float) else v for v in r]) for r in df.collect())
+    for a, b in zip(alone, shared):
+        assert text(a) == text(b)
+
+
 def test_training_rows_lie_beside_their_like(spark):
     rows = spark.range(0, 3000, 1, 7).select(
         F.col("id").alias("order_id"), (F.col("id") * 7 % 5).alias("a"), (F.col("id") * 13 % 11).cast("double").alias("b")
